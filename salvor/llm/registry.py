@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from salvor.llm import op5_exact_dedup, op10_packing
+from salvor.llm import op1_mixing, op5_exact_dedup, op7_sharding, op10_packing
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup.op5_chunk_recipe_dedup, op10_packing.op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mixing.op1_source_mixing,
+        op5_exact_dedup.op5_chunk_recipe_dedup,
+        op7_sharding.op7_hilbert_sharding,
+        op10_packing.op10_best_fit_packing,
+    )
+}
 ORACLES = {"op5_chunk_recipe_dedup": op5_exact_dedup.ORACLE}
