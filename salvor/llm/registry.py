@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salvor.llm import op1_mixing, op5_exact_dedup, op7_sharding, op10_packing
+from salvor.llm import op1_mixing, op5_exact_dedup, op7_sharding, op9_simhash, op10_packing
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         op1_mixing.op1_source_mixing,
         op5_exact_dedup.op5_chunk_recipe_dedup,
         op7_sharding.op7_hilbert_sharding,
+        op9_simhash.op9_simhash_bit_sliced,
         op10_packing.op10_best_fit_packing,
     )
 }
