@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from salvor.llm import op1_mixing, op5_exact_dedup, op7_sharding, op9_simhash, op10_packing
+from salvor.llm import op1_mixing, op5_exact_dedup, op6_lines, op7_sharding, op8_quality, op9_simhash, op10_packing
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing.op1_source_mixing,
         op5_exact_dedup.op5_chunk_recipe_dedup,
+        op6_lines.op6_line_site_spread,
         op7_sharding.op7_hilbert_sharding,
+        op8_quality.op8_quality_additive,
         op9_simhash.op9_simhash_bit_sliced,
         op10_packing.op10_best_fit_packing,
     )
 }
-ORACLES = {"op5_chunk_recipe_dedup": op5_exact_dedup.ORACLE}
+ORACLES = {"op5_chunk_recipe_dedup": op5_exact_dedup.ORACLE, "op6_line_site_spread": op6_lines.ORACLE}
