@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from salvor.llm import op1_mixing, op5_exact_dedup, op6_lines, op7_sharding, op8_quality, op9_simhash, op10_packing
+from salvor.llm import op1_mixing, op2_embeddings, op5_exact_dedup, op6_lines, op7_sharding, op8_quality, op9_simhash, op10_packing
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing.op1_source_mixing,
+        op2_embeddings.op2_embedding_pq,
         op5_exact_dedup.op5_chunk_recipe_dedup,
         op6_lines.op6_line_site_spread,
         op7_sharding.op7_hilbert_sharding,
