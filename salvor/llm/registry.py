@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from salvor.llm import op1_mixing, op2_embeddings, op5_exact_dedup, op6_lines, op7_sharding, op8_quality, op9_simhash, op10_packing
+from salvor.llm import op1_mixing, op2_embeddings, op3_chat, op4_warc, op5_exact_dedup, op6_lines, op7_sharding, op8_quality, op9_simhash, op10_packing
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing.op1_source_mixing,
         op2_embeddings.op2_embedding_pq,
+        op3_chat.op3_chat_rendering,
+        op4_warc.op4_warc_salvage,
         op5_exact_dedup.op5_chunk_recipe_dedup,
         op6_lines.op6_line_site_spread,
         op7_sharding.op7_hilbert_sharding,
@@ -17,4 +19,4 @@ QUERIES = {
         op10_packing.op10_best_fit_packing,
     )
 }
-ORACLES = {"op5_chunk_recipe_dedup": op5_exact_dedup.ORACLE, "op6_line_site_spread": op6_lines.ORACLE}
+ORACLES = {"op3_chat_rendering": op3_chat.ORACLE, "op4_warc_salvage": op4_warc.ORACLE, "op5_chunk_recipe_dedup": op5_exact_dedup.ORACLE, "op6_line_site_spread": op6_lines.ORACLE}
