@@ -41,15 +41,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each row; fp holds the 64 bits as a signed long."""
+    """(doc_id, th, fp) for each row: a hash of its text, and its 64 bits as a signed long."""
     arrow_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["doc_id", "th", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def bit_planes(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +211,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp and component_id of each row of ``docs(doc_id, text)``.
+    """doc_id, th (a hash of the text), fp, root (a fingerprint of the component) and component_id
+    of each row of ``docs(doc_id, text)``.
 
     Fingerprints within ``radius`` bits link; a component is named by its smallest doc_id. Equal
     fingerprints are one node, so copies cost nothing. Null and empty texts have fingerprint 0
@@ -225,17 +226,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     named = nodes.join(member, nodes["fp"] == member["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = staged(named, "members")
     first = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    known = staged(named.join(first, "root").select("fp", "component_id"), "named")
+    known = staged(named.join(first, "root").select("fp", "root", "component_id"), "named")
     release(edges, named, first, *used)
-    return slim.join(known, "fp").select("doc_id", "fp", "component_id")
+    return slim.join(known, "fp").select("doc_id", "th", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that are not the first of their component (equal rows: one)."""
+    """One row of ``docs`` from each component: the first by doc_id (null after all), then by the
+    hash of its text; of rows alike in both, one."""
     found = near_duplicates(docs)
-    keep = staged(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct(), "kept")
-    out = docs.join(keep.withColumnRenamed("doc_id", "__d"), docs["doc_id"].eqNullSafe(F.col("__d")), "left_semi")
-    return out
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("x")
+    keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("__d"), F.col("x.th").alias("__t")), "kept")
+    out = docs.withColumn("__th", F.xxhash64("text"))
+    out = out.join(keep, out["doc_id"].eqNullSafe(keep["__d"]) & (out["__th"] == keep["__t"]), "left_semi")
+    return out.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)
 
 
 def op9_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
