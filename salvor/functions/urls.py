@@ -7,6 +7,7 @@ from urllib.parse import quote, urljoin, urlparse
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: scheme, authority, path, query, fragment: groups 2, 4, 5, 7, 9 (RFC 3986, appendix B).
 PARTS = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
@@ -90,17 +91,17 @@ def _joined(base: str | None, href: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def resolve(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([_joined(b, h) for b, h in zip(base, href, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def percent_encode(values: pd.Series) -> pd.Series:
     return values.map(lambda x: quote(x, safe=SAFE), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def identity_at(base: pd.Series, value: pd.Series) -> pd.Series:
     found = [python_identity(v, b) for b, v in zip(base, value, strict=True)]
     return pd.Series([None if x is None else " ".join(x) for x in found])
