@@ -15,7 +15,8 @@ def elements(raw: Column) -> Column:
     survive, which a typed read of the array would not allow."""
     text = F.coalesce(raw, F.lit(""))
     parsed = F.when(F.regexp_like(text, F.lit(r"^\s*\[")), F.try_parse_json(text))
-    return F.coalesce(F.try_variant_get(parsed, "$", "array<string>"), F.array().cast("array<string>"))
+    each = F.transform(F.try_variant_get(parsed, "$", "array<variant>"), lambda v: F.to_json(v))
+    return F.coalesce(each, F.array().cast("array<string>"))
 
 
 def append_trace(raw: Column, entries: Column) -> Column:

@@ -121,6 +121,7 @@ def route(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
     got = F.when(F.col("c.variant").isNotNull(), find("cdx", F.col("c.variant"))["captures"])
     far = F.transform(got, lambda x, i: F.struct(timestamp_distance(x["timestamp"], F.col("target")).alias("far"), i.alias("i"), x["timestamp"].alias("t"), x["digest"].alias("g")))
     s = s.withColumn("deferred", F.col("deferred") | F.coalesce(F.col("c.failed"), no)).withColumn("near", F.array_sort(far))
+    s = s.withColumn("actions", F.concat("actions", F.coalesce(F.col("c.asked"), empty)))
     start = F.struct("replays", "seen", F.array().cast("array<string>").alias("digests"), "actions", no.alias("terminal"), "deferred", no.alias("stop"))
 
     def step(acc: Column, x: Column) -> Column:
