@@ -155,6 +155,8 @@ def close_links(classes: DataFrame, index: Index, least: float = COSINE, probes:
                 a, b = i[s : s + 65536], j[s : s + 65536]
                 sure = np.einsum("ij,ij->i", x[a], x[b]) >= least
                 pairs.append((a[sure], b[sure]))
+        if not pairs:
+            return
         i, j = (np.concatenate(p) for p in zip(*pairs, strict=True))
         twice = np.array([not own[a] and int(lists[a]) < at and int(lists[a]) in visits[b] for a, b in zip(i, j, strict=True)], bool)
         i, j = i[~twice], j[~twice]
