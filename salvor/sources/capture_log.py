@@ -55,4 +55,5 @@ class CaptureLog(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(CaptureLog)
