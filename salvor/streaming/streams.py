@@ -62,9 +62,10 @@ def append_parts(path: str, expected_unique: str = "id") -> Callable[[DataFrame,
     return run
 
 
-def breaker_stream(events: DataFrame, breaker: Breaker = ARCHIVE) -> DataFrame:
-    """The breaker of each endpoint as keyed state. Rows of a batch are taken in order of time; the
-    state ends after an hour without rows."""
+def breaker_stream(events: DataFrame, breaker: Breaker = ARCHIVE, idle_ms: int | None = None) -> DataFrame:
+    """The breaker of each endpoint as keyed state. Rows of a batch are taken in order of time.
+    ``idle_ms`` ends a state after so long without rows; leave it out for runs that should end
+    when the input does, as waiting for a time-out keeps a query alive."""
     limits = asdict(breaker)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -79,10 +80,11 @@ def breaker_stream(events: DataFrame, breaker: Breaker = ARCHIVE) -> DataFrame:
             met = observe(s, r.ts, bool(r.failure), bool(r.content), b)
             out.append((key[0], r.event_id, r.ts, bool(r.failure), bool(r.content), met, s["consecutive"], s["pause_until"], s["openings"]))
         state.update(tuple(s[n] for n in names))
-        state.setTimeoutDuration(3_600_000)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=[x.split()[0] for x in EVENTS.split(", ")])
 
-    return events.groupBy("endpoint").applyInPandasWithState(run, EVENTS, "consecutive int, pause_until double, probe boolean, openings int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return events.groupBy("endpoint").applyInPandasWithState(run, EVENTS, "consecutive int, pause_until double, probe boolean, openings int", "append", GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def heartbeat_stream(attempts: DataFrame, every: str = "60 seconds", late: str = "10 minutes", least: int = 10, rate: float = 0.2) -> DataFrame:
