@@ -110,18 +110,19 @@ def decisions(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken whole, and once more, cut
     after its last taken word, where the budget ends within it. Columns as in ``docs``."""
-    plan = decisions(docs, **how).where("taken > 0").select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), "text_hash", "size", "taken")
+    plan = decisions(docs, **how).where("taken > 0").select(F.col("doc_id").alias("d"), F.col("source").alias("s"), "text_hash", "size", "taken")
     plan = staged(plan, "mix")
-    keyed_docs = docs.withColumn("__h", F.xxhash64("text"))
-    on = keyed_docs["doc_id"].eqNullSafe(plan["__d"]) & (keyed_docs["__h"] == plan["text_hash"]) & keyed_docs["source"].eqNullSafe(plan["__s"])
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h"))
+    on = own["row.doc_id"].eqNullSafe(plan["d"]) & (own["h"] == plan["text_hash"]) & own["row.source"].eqNullSafe(plan["s"])
     rest = (F.col("taken") % F.col("size")).cast("int")
     times = (F.col("taken") / F.col("size")).cast("int")
     parts = F.concat(F.array_repeat(F.lit(-1), times), F.when(rest > 0, F.array(rest)).otherwise(F.array()))
-    out = keyed_docs.join(plan, on).withColumn("__part", F.explode(parts))
-    words = F.regexp_extract_all("text", F.lit(f"[{WHITE}]*[^{WHITE}]+"), F.lit(0))
-    text = F.when(F.col("__part") < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.col("__part"))), ""))
-    cols = [text.alias("text") if c == "text" else F.when(F.col("__part") < 0, F.col(c)).otherwise(F.length(text)).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*cols)
+    out = own.join(plan, on).withColumn("part", F.explode(parts))
+    before, whole = F.col("row.text"), F.col("part") < 0
+    words = F.regexp_extract_all(before, F.lit(f"[{WHITE}]*[^{WHITE}]+"), F.lit(0))
+    text = F.when(whole, before).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.col("part"))), ""))
+    new = {"text": text, "n_chars": F.when(whole, F.col("row.n_chars")).otherwise(F.length(text)).cast("long") if "n_chars" in docs.columns else None}
+    return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

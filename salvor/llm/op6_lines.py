@@ -61,18 +61,20 @@ def without_boilerplate(docs: DataFrame, site: str = "source", min_sites: int =
     spread over many sites is left whole. Lines are compared without white space at their ends;
     blank lines stay. Null is a site of its own; a null text stays null with no line removed; a
     null doc_id comes first; rows alike in doc_id and text lose the same lines; further columns
-    pass through. Only hashes and places are exchanged by line; the text moves once, by doc_id.
+    pass through, but for earlier n_lines and n_removed. Only hashes and places are exchanged by line; the text moves once, by doc_id.
     """
-    gone = removed_lines(docs, site, min_sites).withColumnRenamed("doc_id", "__d")
-    d = docs.withColumn("__th", F.xxhash64("text"))
-    d = d.join(gone, d["doc_id"].eqNullSafe(gone["__d"]) & (d["__th"] == gone["th"]), "left")
-    lines = _lines(F.col("text"))
+    gone = removed_lines(docs, site, min_sites).withColumnRenamed("doc_id", "d")
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("own_hash"))
+    d = own.join(gone, own["row.doc_id"].eqNullSafe(gone["d"]) & (own["own_hash"] == gone["th"]), "left")
+    before = F.col("row.text")
+    lines = _lines(before)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     cut = F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(cut)
-    counts = [F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")]
-    counts[1] = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed")
-    return d.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], *counts)
+    text = F.when(F.col("gone").isNull(), before).otherwise(cut)
+    n_lines = F.when(before.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")
+    n_removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed")
+    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return d.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in kept_columns], n_lines, n_removed)
 
 
 def op6_line_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,10 +236,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     hash of its text; of rows alike in both, one."""
     found = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("x")
-    keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("__d"), F.col("x.th").alias("__t")), "kept")
-    out = docs.withColumn("__th", F.xxhash64("text"))
-    out = out.join(keep, out["doc_id"].eqNullSafe(keep["__d"]) & (out["__th"] == keep["__t"]), "left_semi")
-    return out.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)
+    keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("d"), F.col("x.th").alias("t")), "kept")
+    own = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"), F.struct(*docs.columns).alias("row"))
+    own = own.join(keep, own["own_id"].eqNullSafe(keep["d"]) & (own["own_hash"] == keep["t"]), "left_semi")
+    return own.dropDuplicates(["own_id", "own_hash"]).select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op9_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:

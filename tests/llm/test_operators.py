@@ -1,0 +1,474 @@
+"""Each operator on small tables against brute force, with nulls, empty and long texts, ties,
+repeated rows, empty tables and clashing column names."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from conftest import DATA, oracle_rows, rows_of
+from pyspark.sql import functions as F
+
+from salvor.llm import op1_mixing, op2_embeddings, op3_chat, op4_warc, op5_exact_dedup, op6_lines, op7_sharding, op8_quality, op9_simhash, op10_packing
+from salvor.llm.common import components
+from salvor.llm.registry import ORACLES, QUERIES
+
+DOC = "doc_id long, text string, source string, lang string, n_chars long, th string, size string, row string, gone int, d int, rank int"
+LONG = "lorem ipsum dolor " * 20_000
+TEXTS = [
+    (1, "a b c d e\nshared line", "s1"), (2, "a b  c d\te\nshared line", "s2"), (3, None, None), (4, "", "s1"), (5, " \n", "s3"), (6, LONG, "s2"), (7, LONG + "end", "s2"),
+    (8, "abcde\nsharedline", "s3"), (8, "abcde\nsharedline", "s3"), (None, "null id\nshared line", None), (9, "x <|endoftext|> y  z\n\n", "s1"), (10, "Ünïcode ß 中文 \U0001f600", "s4"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, s, "en", None if t is None else len(t), "x", "y", "z", 1, 2, 3) for i, t, s in TEXTS], DOC)
+
+
+def data(spark, name):
+    return spark.read.parquet(f"{DATA}/{name}.parquet")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql(spark, oracle, name):
+    df = QUERIES[name](spark, DATA)
+    names, want = oracle_rows(oracle, ORACLES[name])
+    assert sorted(df.columns) == names and rows_of(df) == want
+
+
+def test_empty_tables(spark, docs):
+    none = docs.limit(0)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for df in (
+        op1_mixing.decisions(none), op1_mixing.mixed(none), op5_exact_dedup.exact_groups(none), op6_lines.without_boilerplate(none), op7_sharding.hilbert_shards(none),
+        op8_quality.scored(none, labels), op9_simhash.near_duplicates(none), op9_simhash.one_of_each(none), op10_packing.packed_documents(none),
+        op2_embeddings.near_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")),
+        op3_chat.digests(op3_chat.formatted(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))),
+    ):
+        assert df.count() == 0
+
+
+# 1 Mixing
+
+
+def fill(sizes: dict, share=1.5, cap=2) -> dict:
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    target, open_, rest = {}, set(names), share * sum(sizes.values())
+    while open_:
+        level = rest / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] > cap * sizes[s]}
+        if not full:
+            return target | {s: level * weight[s] for s in open_}
+        for s in full:
+            target[s] = cap * sizes[s]
+            rest -= target[s]
+        open_ -= full
+    return target
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_mixing(spark, docs, small):
+    d = docs if small else data(spark, "documents")
+    got = op1_mixing.decisions(d).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, op1_mixing.decisions(d).collect())) if not small else True
+    sizes, taken = Counter(), Counter()
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        sizes[r["source"]] += r["size"] * r["copies"]
+        taken[r["source"]] += r["taken"] * r["copies"]
+    want = fill({s: sizes[s] for s in sizes})
+    for r in got:
+        assert r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]]
+    assert all(abs(taken[s] - want[s]) <= 2 for s in want)
+    words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in d.collect())
+    assert sum(sizes.values()) == words
+    out = op1_mixing.mixed(d)
+    assert out.columns == d.columns
+    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in out.collect()) == sum(taken.values())
+
+
+# 2 Embeddings
+
+
+def test_embeddings(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for k in range(60):
+        base = rng.normal(size=16)
+        for _ in range(rng.integers(1, 12)):
+            rows.append((len(rows), (base + rng.normal(size=16) * rng.choice([0, 0.05, 0.12])).astype("f4").tolist(), int(k % 3)))
+    odd = [(None, rows[0][1], 0), (1000, None, 0), (1001, [0.0] * 16, 0), (1002, [float("nan")] * 16, 0), (1003, [None] + [1.0] * 15, 0), (1004, rows[0][1], None), (1005, rows[0][1], 1), (1006, rows[0][1][:8], 0), (1007, [], 0), (3, rows[3][1], 0), (1008, [1e30] * 16, 2), (1009, [-1.0] * 16, 2)]
+    every = rows + odd
+    got = op2_embeddings.near_embeddings(spark.createDataFrame(every, "vec_id long, embedding array<float>, label int"))
+    usable = [e is not None and len(e) > 0 and all(x is not None and np.isfinite(x) for x in e) and any(e) and lab is not None for _, e, lab in every]
+    unit = [np.array(e, float) / np.linalg.norm(np.array(e, float)) if u else None for (_, e, _), u in zip(every, usable, strict=True)]
+    n, links = len(every), defaultdict(set)
+    for i in range(n):
+        for j in range(i):
+            if usable[i] and usable[j] and every[i][2] == every[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.93:
+                links[i].add(j)
+                links[j].add(i)
+    root = list(range(n))
+    for _ in range(n):
+        new = [min([root[i], *(root[j] for j in links[i])]) for i in range(n)]
+        if new == root:
+            break
+        root = new
+    ids = defaultdict(list)
+    for i in range(n):
+        ids[root[i]].append(every[i][0])
+    want = sorted((repr(every[i][0]), len(links[i]), repr(min((x for x in ids[root[i]] if x is not None), default=None))) for i in range(n))
+    out = sorted((repr(r["vec_id"]), r["n_links"], repr(r["component_id"])) for r in got.collect())
+    found, real = sum(x[1] for x in out), sum(x[1] for x in want)
+    assert found >= 0.99 * real and found <= real
+    if found == real:
+        assert out == want
+
+
+def test_table_cosines_bound_the_cosine():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 20))
+    index = op2_embeddings.fit(x.tolist(), 20, 50_000)
+    unit = index.padded(x.tolist())
+    own = index.lists(unit, 1, 0)[:, 0]
+    code, error = index.codes(unit, own)
+    for k in set(own.tolist()):
+        m = own == k
+        assert (unit @ unit[m].T <= index.table_cosines(unit, k, code[m]) + error[m] + 1e-9).all()
+
+
+# 3 Chat
+
+
+def test_template_round_trip_and_spans():
+    t = op3_chat.TurnTemplate()
+    rng = random.Random(3)
+    parts = ["\\", "### ", "</turn>", ":", "\n", "assistant", "x", "### user: ", "\\</turn>", ""]
+    for _ in range(300):
+        turns = [(rng.choice(["user", "assistant", "a:b", "\\", ""]), "".join(rng.choices(parts, k=rng.randrange(7)))) for _ in range(rng.randrange(6))]
+        out, found, rewrites = op3_chat.spans(turns, t.render)
+        assert t.parse(out) == turns and not rewrites
+        assert [t.unescape(out[s[2] : s[3]]) for s in found] == [x for _, x in turns]
+        assert "".join(out[s[0] : s[1]] for s in found) == out
+
+
+def test_rewriting_template_is_detected():
+    last = lambda turns: "".join(f"[{r}]{t if k + 1 == len(turns) else t.strip('!')}" for k, (r, t) in enumerate(turns))
+    out, found, rewrites = op3_chat.spans([("user", "hi!"), ("assistant", "yes!")], last)
+    assert rewrites and out == "[user]hi[assistant]yes!" and out[found[0][2] : found[0][3]] == "hi" and out[found[1][2] : found[1][3]] == "yes!"
+
+
+def test_chat_nulls_ties_and_repeats(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None), (None, 1, "assistant", "b" * 100_000), (2, 0, "assistant", "")]
+    got = {r["conv_id"]: r for r in op3_chat.digests(op3_chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("spans", F.lit(1)))).collect()}
+    assert got[1]["n_turns"] == 3 and got[1]["turns_sha256"] == hashlib.sha256(b"\n\nuser\na\nuser\na\n").hexdigest()
+    assert got[None]["loss_chars"] == 100_000 and got[2]["loss_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+# 4 WARC
+
+
+def archive(n=6):
+    return [gzip.compress(op4_warc.record(k, f"http://e.de/{k}", (f"<p>{k} WARC/1.1\r\n" * 200).encode(), None, False), mtime=0) for k in range(n)]
+
+
+def test_salvage_after_damage():
+    parts = archive()
+    whole = list(op4_warc.salvage(op4_warc.EMPTY_MEMBER.join(parts)))
+    assert [f.fields["warc-record-id"] for f in whole] == [op4_warc.page_urn(k) for k in range(6)]
+    bad = bytearray(parts[2])
+    bad[len(bad) // 2] ^= 0xFF
+    data = b"".join([*parts[:2], bytes(bad), *parts[3:5], parts[5][:-9]])
+    found = list(op4_warc.salvage(data))
+    assert [f.fields["warc-record-id"] for f in found if f.gap is None] == [op4_warc.page_urn(k) for k in (0, 1, 3, 4)]
+    gaps = [(f.offset, f.length) for f in found if f.gap is not None]
+    assert gaps == [(len(parts[0]) + len(parts[1]), len(parts[2])), (len(data) - len(parts[5]) + 9, len(parts[5]) - 9)]
+    assert sum(f.length for f in found) == len(data)
+
+
+def test_salvage_of_plain_files_and_noise():
+    plain = [gzip.decompress(p) for p in archive(3)]
+    broken = plain[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    found = list(op4_warc.salvage(b"noise" + plain[0] + broken + plain[2]))
+    assert [f.fields.get("warc-record-id") for f in found] == [None, op4_warc.page_urn(0), None, op4_warc.page_urn(2)]
+    assert [f.gap is None for f in found] == [False, True, False, True]
+    assert [f.length for f in op4_warc.salvage(b"\x1f\x8b\x08" * 1000)] == [3000] and list(op4_warc.salvage(b"")) == []
+
+
+def test_warc_round_trip_of_odd_pages(spark, tmp_path):
+    big = "ä" * 600
+    pages = [(1, "u", big), (5, None, big), (3, "a b\r\nX: y", big), (None, "v", big), (7, "w", "short"), (8, "w", "short"), (9, "x", None), (10, "y", ""), (5, None, big), (11, "z", "q" * 500_000)]
+    path = f"file://{tmp_path}/warc"
+    op4_warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("first", F.lit(1)), path)
+    got = op4_warc.read_archives(spark, path).collect()
+    assert not [r for r in got if r["gap"] is not None] and len(got) == len(pages)
+    kinds = sorted((repr(r["page_id"]), r["record_type"], r["refers_to"], r["payload_bytes"]) for r in got)
+    want = sorted((repr(i), "revisit", 5, 1200) if h == big and i != 5 else (repr(i), "response", None, len((h or "").encode())) for i, _, h in pages)
+    assert kinds == want
+    for r in got:
+        html = next((h or "").encode() for i, _, h in pages if i == r["page_id"])
+        assert r["payload_digest"] == hashlib.sha1(html).hexdigest() and r["payload"] in (None, html)
+
+
+def test_empty_archive(spark, tmp_path):
+    path = f"file://{tmp_path}/warc"
+    op4_warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert op4_warc.read_archives(spark, path).count() == 0
+
+
+# 5 Exact dedup
+
+
+def test_exact_groups(spark, docs):
+    got = {(r["doc_id"], r["text_sha256"]): r for r in op5_exact_dedup.exact_groups(docs).collect()}
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    groups = defaultdict(list)
+    for i, t, _ in TEXTS:
+        groups[norm(t)].append((i, len(t or "")))
+    for i, t, _ in TEXTS:
+        r = got[i, hashlib.sha256(norm(t).encode()).hexdigest()]
+        g = groups[norm(t)]
+        most = max(n for _, n in g)
+        keep = min(x for x, n in g if n == most and x is not None) if any(n == most and x is not None for x, n in g) else None
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(g), i == keep and len(t or "") == most)
+
+
+def test_recipes_rebuild_the_text(spark):
+    texts = ["", "a", "ab. " * 900, "x" * 5000, "\U0001f600." * 700, LONG]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    pattern = op5_exact_dedup.CHUNK.format(least=256, last=2047, most=2048)
+    got = df.select("doc_id", "text", F.array_join(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), "").alias("again")).collect()
+    assert all(r["text"] == r["again"] for r in got)
+
+
+# 6 Lines
+
+
+def test_boilerplate_keeps_one_and_blank_lines(spark):
+    rows = [(k, f"own {k}\n\n  Shared here \nend {k}", f"s{k % 9}") for k in range(30)] + [(100, "own\nrare", "s1"), (101, "rare", "s2"), (102, None, None), (103, "", "s3"), (0, "own 0\n\n  Shared here \nend 0", "s0"), (None, "Shared here", "s8")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"th": F.lit(1), "gone": F.lit(2), "n_lines": F.lit(9), "d": F.lit(3)})
+    out = op6_lines.without_boilerplate(df, min_sites=8).collect()
+    assert len(out) == len(rows)
+    has = [r["doc_id"] for r in out if r["text"] and "Shared here" in r["text"]]
+    assert has == [None]
+    by = {r["doc_id"]: r for r in out}
+    assert by[5]["text"] == "own 5\n\nend 5" and by[5]["n_removed"] == 1 and by[5]["n_lines"] == 4 and by[5]["th"] == 1
+    assert by[100]["text"] == "own\nrare" and by[102]["text"] is None and by[102]["n_lines"] == 0 and by[103]["text"] == ""
+
+
+@pytest.mark.parametrize("sites", [3, 4, 5, 9, 40])
+def test_spread_is_exact_about_the_threshold(spark, sites):
+    df = spark.createDataFrame([(k * 10 + s, "line a" if k else "line b", f"s{s}") for k, top in ((0, sites), (1, sites - 1)) for s in range(top)], "doc_id long, text string, source string")
+    lines = op6_lines.line_rows(df, "source")
+    assert op6_lines.boilerplate(lines, sites).count() == 1
+
+
+# 7 Sharding
+
+
+def test_hilbert_curve_visits_each_cell_by_one_step(spark):
+    for dims, bits in ((2, 3), (3, 2)):
+        names = [f"x{i}" for i in range(dims)]
+        cells = spark.range(1 << (dims * bits)).select(*[F.shiftright("id", bits * i).bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias(n) for i, n in enumerate(names)])
+        got = op7_sharding.hilbert_index(cells, names, bits, "h").orderBy("h").collect()
+        assert [r["h"] for r in got] == list(range(1 << (dims * bits)))
+        assert all(sum(abs(a[n] - b[n]) for n in names) == 1 for a, b in zip(got, got[1:], strict=False))
+
+
+@pytest.mark.parametrize("shards", [16, 3])
+def test_shards(spark, docs, shards):
+    for d in (docs, data(spark, "documents")):
+        src = [(r["doc_id"], r["text"]) for r in d.collect()]
+        got = op7_sharding.hilbert_shards(d, shards).collect()
+        assert sorted(map(repr, [(r["doc_id"], r["size"], r["text_crc32"]) for r in got])) == sorted(map(repr, [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in src]))
+        slots = defaultdict(list)
+        for r in got:
+            slots[r["shard"]].append(r["slot"])
+        n = [len(slots[k]) for k in range(shards)]
+        assert max(n) - min(n) <= 1 and set(slots) <= set(range(shards)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+# 8 Quality
+
+
+def test_quality_on_held_out_rows(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r for r in op8_quality.scored(d.select("doc_id", "text"), labels).collect()}
+    y = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    held = [(got[i]["score"], got[i]["predicted"], q) for i, q in y.items() if got[i]["held_out"]]
+    pairs = [(a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in held if a[2] for b in held if not b[2]]
+    assert np.mean(pairs) > 0.97 and np.mean([p == q for _, p, q in held]) > 0.93
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in got.values())
+
+
+def test_quality_of_odd_rows(spark, docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (6, None, 0)], "doc_id long, quality int, toxic int")
+    got = op8_quality.scored(docs.withColumn("score", F.lit("x")), labels).collect()
+    assert {r["score"] for r in got} == {0.5} and len(got) == len(TEXTS)
+
+
+def test_held_out_labels_teach_nothing(spark):
+    d, labels = data(spark, "documents"), data(spark, "labels")
+    other = labels.withColumn("quality", F.when(op8_quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = op8_quality.train(d, labels), op8_quality.train(d, other)
+    assert all((x == y).all() for x, y in zip(a.tables, b.tables, strict=True)) and a.intercept == b.intercept
+
+
+# 9 SimHash
+
+
+def brute_print(text) -> int:
+    import xxhash
+
+    t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(max(1, len(w) - 3))] if w else []
+    return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h)) if h else 0
+
+
+def test_fingerprints():
+    for t in (None, "", " \n", "One", "One two THREE", "a b c d", "Ä É x y z " * 50, LONG[:9000]):
+        assert op9_simhash.fingerprint(t) == brute_print(t)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 4, 7])
+def test_bit_sliced_pairs(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 9), replace=False)) for _ in range(400)]
+    fps = np.array([int(base[k % 40]) ^ f for k, f in enumerate(flips)], np.uint64)
+    i, j = op9_simhash.close_pairs(fps, fps[:333], radius)
+    want = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :333]) <= radius)
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [tuple(x) for x in want.tolist()]
+
+
+@pytest.mark.parametrize("total", [10, 10_000_000, 10_000_000_000])
+def test_bands_lose_no_pair(total):
+    sets, bits = op9_simhash.bands(total, 4)
+    rng = random.Random(total)
+    for _ in range(300):
+        diff = sum(1 << b for b in rng.sample(range(64), 4))
+        assert any(all(diff >> a & ((1 << w) - 1) == 0 for a, w in s) for s in sets)
+    assert all(sum(w for _, w in s) >= bits for s in sets)
+
+
+def test_near_duplicates_of_clusters(spark, docs, monkeypatch):
+    monkeypatch.setattr(op9_simhash, "TILE", 16)
+    rng = random.Random(9)
+    rows = [(i, t) for i, t, _ in TEXTS]
+    for k in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        for c in range(12):
+            rows.append((100 + len(rows), " ".join(words[: 400 - c % 4] + [f"tail{k}{c}"])))
+    got = op9_simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit(0)))
+    fps = [brute_print(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        new = [min(root[j] for j in range(len(rows)) if (fps[i] ^ fps[j]).bit_count() <= 4) for i in range(len(rows))]
+        if new == root:
+            break
+        root = new
+    name = {r: min((rows[i][0] for i in range(len(rows)) if root[i] == r and rows[i][0] is not None), default=None) for r in set(root)}
+    want = sorted((repr(rows[i][0]), fps[i], repr(name[root[i]])) for i in range(len(rows)))
+    assert sorted((repr(r["doc_id"]), r["fp"] & (2**64 - 1), repr(r["component_id"])) for r in got.collect()) == want
+
+
+def test_one_of_each(spark, docs):
+    out = op9_simhash.one_of_each(docs)
+    assert out.columns == docs.columns
+    prints = [brute_print(r["text"]) for r in out.collect()]
+    assert all((a ^ b).bit_count() > 4 for k, a in enumerate(prints) for b in prints[:k])
+
+
+def test_components_of_chains_and_hubs(spark):
+    rng = random.Random(4)
+    order = rng.sample(range(1000), 300)
+    edges = list(zip(order, order[1:], strict=False)) + [(5000, 5000 + k) for k in range(1, 200)] + [(9000, 9000), (7, 7)]
+    node, used = components(spark.createDataFrame(edges, "u long, v long"))
+    got = {r["node"]: r["root"] for r in node.collect()}
+    assert {got[n] for n in order} == {min(order)} and {got[5000 + k] for k in range(200)} == {5000} and 9000 not in got
+
+
+# 10 Packing
+
+
+def test_pieces_equal_the_library(spark, docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(op10_packing.public_vocabulary()[0])
+    for d in (docs, data(spark, "documents").select("doc_id", "text", F.lit(1).alias("rank"))):
+        want = sorted(repr((r["doc_id"], [*t.encode(r["text"] or "", add_special_tokens=False).ids, 0])) for r in d.collect())
+        pieces = op10_packing.tokenised(d.withColumn("doc_id", F.col("doc_id")), 256, True).collect()
+        whole = defaultdict(list)
+        for r in sorted(pieces, key=lambda r: (r["doc_id"] or -1, r["start"])):
+            whole[r["doc_id"]] += r["ids"]
+            assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes()) and r["length"] == len(r["ids"]) <= 256
+        if d is not docs:
+            assert sorted(repr((k, v)) for k, v in whole.items()) == want
+        else:
+            assert all(repr((k, v)) in want for k, v in whole.items() if k != 8)
+
+
+def naive(sizes: list[int], capacity: int) -> int:
+    left: list[int] = []
+    for s in sorted(sizes, reverse=True):
+        fit = [(c, k) for k, c in enumerate(left) if c >= s]
+        if fit:
+            left[min(fit)[1]] -= s
+        else:
+            left.append(capacity - s)
+    return len(left)
+
+
+def test_runs_equal_best_fit_one_by_one():
+    rng = random.Random(10)
+    for _ in range(150):
+        capacity = rng.choice([10, 64, 257])
+        sizes = [min(capacity, max(1, int(rng.expovariate(1 / rng.choice([3, 40, 150]))))) for _ in range(rng.randrange(200))]
+        plan = op10_packing.best_fit(Counter(sizes), capacity)
+        used, ranks = defaultdict(int), defaultdict(list)
+        for size, a, b, first, each, at in plan:
+            ranks[size] += range(a, b)
+            for r in range(a, b):
+                bin_, off = first + (r - a) // each, at + (r - a) % each * size
+                assert off == used[bin_]
+                used[bin_] += size
+        assert all(sorted(ranks[s]) == list(range(n)) for s, n in Counter(sizes).items())
+        assert all(u <= capacity for u in used.values()) and len(used) == naive(sizes, capacity)
+
+
+def test_capacity_tree():
+    t, rng, have = op10_packing.CapacityTree(100), random.Random(5), Counter()
+    for _ in range(2000):
+        c = rng.randrange(101)
+        if have[c] and rng.random() < 0.6:
+            have[c] -= 1
+            t.add(c, -1)
+        else:
+            have[c] += 1
+            t.add(c, 1)
+        s = rng.randrange(101)
+        assert t.tightest(s) == min((k for k, n in have.items() if n and k >= s), default=None)
+
+
+def test_packed_sequences(spark, docs):
+    got = op10_packing.packed_documents(docs, 128).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in by.values():
+        at = 0
+        for off, n in sorted(own):
+            assert off == at
+            at += n
+        assert at <= 128
+    assert len(by) == naive([r["length"] for r in got], 128)
