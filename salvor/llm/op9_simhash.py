@@ -236,10 +236,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     hash of its text; of rows alike in both, one."""
     found = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("x")
-    keep = staged(found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("d"), F.col("x.th").alias("t")), "kept")
-    own = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"), F.struct(*docs.columns).alias("row"))
-    own = own.join(keep, own["own_id"].eqNullSafe(keep["d"]) & (own["own_hash"] == keep["t"]), "left_semi")
-    return own.dropDuplicates(["own_id", "own_hash"]).select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    id_, text_hash = F.coalesce(F.col("x.doc_id"), F.lit(0)), F.col("x.th")
+    keep = staged(found.groupBy("root").agg(first).select(id_.alias("id"), F.col("x.none").alias("none"), text_hash.alias("th")), "kept")
+    key = ["id", "none", "th"]  # no nulls: the join and the last step then share one exchange of the texts
+    own = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("th"), F.struct(*docs.columns).alias("row"))
+    return own.join(keep, key, "left_semi").dropDuplicates(key).select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op9_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
