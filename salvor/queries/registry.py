@@ -336,7 +336,7 @@ def nearest_capture(spark, sf):
     return archive.nearest(c).select("id", "position", "timestamp", "distance", "replay_no")
 
 
-@query(f"WITH p AS (SELECT page_id, {P(2)} AS scheme, {P(4)} AS net, {P(5)} AS path, {P(7)} AS query FROM pages), v AS (SELECT page_id, [lower(scheme) || '://' || net || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END, CASE WHEN lower(scheme) = 'https' THEN 'http://' || net || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END, CASE WHEN query <> '' THEN lower(scheme) || '://' || net || path END] AS forms FROM p), f AS (SELECT page_id, unnest(list_filter(forms, lambda x: x IS NOT NULL)) AS form, generate_subscripts(list_filter(forms, lambda x: x IS NOT NULL), 1) - 1 AS no FROM v), c AS (SELECT f.page_id, f.no, f.form FROM f JOIN (SELECT page_id, form, no FROM f WHERE (page_id + no) % 3 = 0) k ON k.page_id = f.page_id AND k.form = f.form) SELECT CAST(page_id AS VARCHAR) AS id, CAST(no AS INTEGER) AS variant_no, form AS variant FROM c QUALIFY rank() OVER (PARTITION BY page_id ORDER BY no) = 1")
+@query(f"WITH p AS (SELECT page_id, {P(2)} AS scheme, {P(4)} AS net, {P(5)} AS path, {P(7)} AS query FROM pages), v AS (SELECT page_id, [lower(scheme) || '://' || net || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END, CASE WHEN lower(scheme) = 'https' THEN 'http://' || net || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END, CASE WHEN query <> '' THEN lower(scheme) || '://' || net || path END] AS forms FROM p), f AS (SELECT page_id, unnest(list_filter(forms, lambda x: x IS NOT NULL)) AS form, generate_subscripts(list_filter(forms, lambda x: x IS NOT NULL), 1) - 1 AS no FROM v), c AS (SELECT f.page_id, f.no, f.form FROM f JOIN (SELECT DISTINCT form FROM f WHERE (page_id + no) % 3 = 0) k ON k.form = f.form) SELECT CAST(page_id AS VARCHAR) AS id, CAST(no AS INTEGER) AS variant_no, form AS variant FROM c QUALIFY rank() OVER (PARTITION BY page_id ORDER BY no) = 1")
 def variant_first_hit(spark, sf):
     s = view(spark, sf, STORY).select("id", "page_id", "url")
     captures = archive.variants(s).where((F.col("page_id") + F.col("variant_no")) % 3 == 0)
