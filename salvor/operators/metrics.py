@@ -32,6 +32,11 @@ def outcome_columns(columns: list[str]) -> list[Column]:
     return [v.cast("long").alias(n) for n, v in zip(OUTCOMES, values, strict=True)]
 
 
+def domain(df: DataFrame, name: str, values: tuple[str, ...]) -> DataFrame:
+    """A fixed domain as a column, made in the JVM."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, values))).alias(name))
+
+
 def outcome_stats(results: DataFrame) -> DataFrame:
     return results.agg(*outcome_columns(results.columns))
 
@@ -42,7 +47,7 @@ def outcome_stats_by_country(results: DataFrame) -> DataFrame:
     cols = outcome_columns(results.columns)
     sets = results.groupingSets([["country"], []], "country").agg(F.grouping("country").alias("__all"), *cols)
     named = sets.where((F.col("__all") == 1) | F.col("country").isin(*COUNTRIES)).withColumn("scope", F.when(F.col("__all") == 1, "overall").otherwise(F.col("country")))
-    every = results.sparkSession.createDataFrame([(c,) for c in ("overall", *COUNTRIES)], "scope string")
+    every = domain(results, "scope", ("overall", *COUNTRIES))
     out = every.join(named.drop("country", "__all"), "scope", "left")
     return out.select("scope", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in OUTCOMES])
 
@@ -50,7 +55,7 @@ def outcome_stats_by_country(results: DataFrame) -> DataFrame:
 def recovered_by_method(results: DataFrame) -> DataFrame:
     """Rows with recovered text by final method, zero-filled over the known methods."""
     n = results.where("scrape_status = 'ok'").groupBy("fetch_method").agg(F.count(F.lit(1)).alias("n"))
-    every = results.sparkSession.createDataFrame([(m,) for m in FETCH_METHODS], "fetch_method string")
+    every = domain(results, "fetch_method", FETCH_METHODS)
     return every.join(n, "fetch_method", "left").select("fetch_method", F.coalesce("n", F.lit(0)).cast("long").alias("n_recovered"))
 
 
