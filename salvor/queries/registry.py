@@ -141,9 +141,9 @@ def live_queue_anti(spark, sf):
     return queues.live_queue(d, table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id")))
 
 
-@query(WITH_R + "SELECT id, scrape_status FROM r WHERE coalesce(needs_archive, false) AND doc_id % 2 = 0")
+@query(WITH_R + "SELECT id, scrape_status FROM r WHERE coalesce(needs_archive, false) AND id IN (SELECT CAST(doc_id AS VARCHAR) FROM documents WHERE lang = 'en')")
 def archive_queue_semi(spark, sf):
-    stories = table(spark, sf, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("id"))
+    stories = table(spark, sf, "documents").where("lang = 'en'").select(F.col("doc_id").cast("string").alias("id"))
     return queues.archive_queue(stories, result(spark, sf).select("id", "scrape_status", "needs_archive", "text")).select("id", "scrape_status")
 
 
@@ -306,9 +306,9 @@ def retry_after(spark, sf):
     return e.select("event_id", times.retry_after(value, now, 1e9).alias("raw"), times.retry_after(value, now, 120).alias("wait"))
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS id, 'http://web.archive.org/web/20200102000000id_/' || url AS replay, '20200102000000' AS stamp, '2020-01-02' AS crawl_date FROM pages WHERE NOT regexp_matches(url, '[^A-Za-z0-9_.~:/?&=%;,+#@-]')")
+@query("SELECT CAST(page_id AS VARCHAR) AS id, 'http://web.archive.org/web/20200102000000id_/' || url AS replay, '20200102000000' AS stamp, '2020-01-02' AS crawl_date FROM pages")
 def replay_address(spark, sf):
-    s = view(spark, sf, STORY).where(~F.col("url").rlike(r"[^A-Za-z0-9_.~:/?&=%;,+#@-]"))
+    s = view(spark, sf, STORY)
     s = s.withColumn("replay", urls.replay_url(F.lit("20200102000000"), F.col("url"), "http://web.archive.org"))
     return s.select("id", "replay", urls.capture_timestamp(F.col("replay")).alias("stamp"), times.crawl_date(urls.capture_timestamp(F.col("replay"))).cast("string").alias("crawl_date"))
 
@@ -319,10 +319,15 @@ def method_append(spark, sf):
     return r.select("id", "before", text.append_method(F.col("before"), "wayback").alias("after"))
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS id, lower(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g'))) AS title FROM pages WHERE NOT regexp_matches(html, '<title[^>]*>[^<]*[&ß][^<]*</title>')")
+TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&nbsp;", " "), ("&amp;", "&"), ("&amp", "&")):
+    TITLE = f"replace({TITLE}, '{entity}', '{char}')"
+TITLE = f"trim(regexp_replace({TITLE}, '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT CAST(page_id AS VARCHAR) AS id, replace(lower(nfc_normalize({TITLE})), 'ß', 'ss') AS title FROM pages")
 def page_title_norm(spark, sf):
-    s = view(spark, sf, STORY.replace("FROM pages", "FROM pages WHERE NOT regexp_like(html, '<title[^>]*>[^<]*[&ß][^<]*</title>')"))
-    return s.select("id", text.normalize_title(F.col("title")).alias("title"))
+    return view(spark, sf, STORY).select("id", text.normalize_title(F.col("title")).alias("title"))
 
 
 # Captures, traces, routing
@@ -508,10 +513,9 @@ def run_progress(spark, sf):
 # Extraction and acceptance
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS page_title, len(regexp_extract_all(html, '(?i)<article[\\s>]')) = 1 AS scoped FROM pages WHERE NOT contains(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&')")
+@query(f"SELECT CAST(page_id AS VARCHAR) AS id, {TITLE} AS page_title, len(regexp_extract_all(html, '(?i)<article[\\s>]')) = 1 AS scoped FROM pages")
 def page_extract(spark, sf):
-    p = table(spark, sf, "pages").where(~F.contains(F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1), F.lit("&")))
-    p = p.select(F.col("page_id").cast("string").alias("id"), html.extract_page(F.col("html"), F.col("url"), F.lit(None).cast("string")).alias("x"))
+    p = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("id"), html.extract_page(F.col("html"), F.col("url"), F.lit(None).cast("string")).alias("x"))
     return p.select("id", F.col("x.page_title").alias("page_title"), F.exists("x.candidates", lambda c: c["extract_method"] == "trafilatura_scoped").alias("scoped"))
 
 
@@ -527,13 +531,11 @@ def page_candidates(spark, sf):
     return judged_pages(spark, sf).select("id", "position", "extract_method", "verification_level", "verified_by", F.length("text").alias("n_text"))
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS id, CASE WHEN page_id % 3 = 0 THEN 'unverified_text' ELSE 'verified' END AS level FROM pages WHERE trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) <> ''")
+@query("SELECT CAST(page_id AS VARCHAR) AS id, CASE WHEN page_id % 3 = 0 OR trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) = '' THEN 'unverified_text' ELSE 'verified' END AS level FROM pages")
 def identity_level(spark, sf):
     """A page's own title identifies it; another story's does not."""
-    titled = table(spark, sf, "pages").where(F.trim(F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1)) != "").select(F.col("page_id").cast("string").alias("id"))
     best = acceptance.chosen(judged_pages(spark, sf))
-    best = best.select("id", F.when(F.col("verification_level").isin("page_verified", "strict_verified"), "verified").otherwise(F.col("verification_level")).alias("level"))
-    return titled.join(best, "id")
+    return best.select("id", F.when(F.col("verification_level").isin("page_verified", "strict_verified"), "verified").otherwise(F.col("verification_level")).alias("level"))
 
 
 @query(f"WITH p AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(lower({P(4)}), '^.*@', ''), ':[0-9]*$', ''), '^www[.]', '') AS host FROM pages), d AS (SELECT DISTINCT host, 'p:' || host AS publisher FROM p WHERE length(host) % 2 = 0 UNION SELECT DISTINCT regexp_extract(host, '[^.]+[.][^.]+$', 0) AS host, 'd:' || regexp_extract(host, '[^.]+[.][^.]+$', 0) FROM p WHERE length(regexp_extract(host, '[^.]+[.][^.]+$', 0)) % 2 = 1) SELECT CAST(p.page_id AS VARCHAR) AS id, d.publisher FROM p LEFT JOIN d ON p.host = d.host OR ends_with(p.host, '.' || d.host) QUALIFY row_number() OVER (PARTITION BY p.page_id ORDER BY length(d.host) DESC NULLS LAST) = 1")
@@ -563,10 +565,10 @@ def preserved_longest(spark, sf):
     return acceptance.preserve_longest(r, F.array(one, two)).select("id", F.coalesce("fallback_text_length", F.lit(0)).cast("long").alias("fallback_text_length"))
 
 
-@query("WITH c AS (SELECT conv_id, turn, conv_id % 3 AS rank, length(coalesce(text, '')) AS len FROM conversations WHERE conv_id % 3 < 2), m AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN rank = 1 THEN len END DESC NULLS LAST, turn) = 1) SELECT CAST(conv_id AS VARCHAR) AS id, turn, len FROM m")
+@query("WITH c AS (SELECT conv_id, turn, conv_id % 3 AS rank, length(coalesce(text, '')) AS len FROM conversations), m AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN rank = 1 THEN len END DESC NULLS LAST, turn) = 1) SELECT CAST(conv_id AS VARCHAR) AS id, turn, len FROM m")
 def best_candidate(spark, sf):
-    """Unverified texts: the longest, the first of ties. Rows without text: the first."""
-    c = table(spark, sf, "conversations").where("conv_id % 3 < 2")
+    """Unverified texts: the longest, the first of ties. Other ranks, being equal: the first."""
+    c = table(spark, sf, "conversations")
     one = F.struct("turn", (F.col("conv_id") % 3).cast("int").alias("rank"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("len"))
     g = c.groupBy(F.col("conv_id").cast("string").alias("id")).agg(F.array_sort(F.collect_list(one)).alias("c"))
     return g.select("id", acceptance.best_candidate(F.col("c")).alias("b")).select("id", "b.turn", "b.len")
