@@ -9,7 +9,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from conftest import DATA
-from test_operators import brute_print, fill, naive
+from test_llm_operators import brute_print, fill, naive
 
 from salvor.llm import op6_lines, op8_quality, op10_packing
 from salvor.llm.common import staged
