@@ -21,7 +21,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: white space that looks ahead never applies, and a pattern without look-ahead (run as a
 #: plain automaton) cuts a text as the vocabulary's own pattern does.
 SPECIAL = "<|endoftext|>"
-ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|  |\n\n| \n|\n |^[ \n]|[ \n]\\Z")
+ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  |\n\n| \n|\n |^[ \n]|[ \n]\\Z")
 PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 

@@ -418,6 +418,14 @@ def test_pieces_equal_the_library(spark, docs):
             assert all(repr((k, v)) in want for k, v in whole.items() if k != 8)
 
 
+def test_ids_of_odd_white_space():
+    ids, rng = op10_packing.Ids(*op10_packing.public_vocabulary()), random.Random(6)
+    parts = ["a", "Zoé", " ", "\n", "'s", "'ll", "12", "!!", chr(0x3000), chr(0xA0), "\t", "ß", "<|endoftext|>", "中文", "\U0001f600", "  ", "\x1c", "x'", chr(0x2009), ".\n", "²"]
+    for _ in range(5000):
+        t = "".join(rng.choices(parts, k=rng.randrange(9)))
+        assert ids(t) == ids.exact.encode(t, add_special_tokens=False).ids
+
+
 def naive(sizes: list[int], capacity: int) -> int:
     left: list[int] = []
     for s in sorted(sizes, reverse=True):
