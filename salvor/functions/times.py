@@ -12,10 +12,9 @@ STAMP = "yyyyMMddHHmmss"
 
 def publication_timestamp(c: Column) -> Column:
     """The first date in a value as 14 digits, missing parts 00; null where no real date stands."""
-    text = c.cast("string")
-    parts = [F.regexp_extract(text, PUBLISHED, k) for k in range(1, 7)]
-    digits = F.concat(*[F.when(p == "", "00").otherwise(p) for p in parts])
-    return F.date_format(F.try_to_timestamp(F.when(parts[0] != "", digits), F.lit(STAMP)), STAMP)
+    found = F.regexp_extract(c.cast("string"), PUBLISHED, 0)
+    digits = F.rpad(F.regexp_replace(found, "[^0-9]", ""), 14, "0")
+    return F.date_format(F.try_to_timestamp(F.when(found != "", digits), F.lit(STAMP)), STAMP)
 
 
 def stamp_seconds(c: Column) -> Column:
