@@ -24,8 +24,8 @@ def strip(c: Column) -> Column:
 
 
 def has_text(c: Column) -> Column:
-    """Neither null nor only white space; never null."""
-    return strip(F.coalesce(c.cast("string"), F.lit(""))) != ""
+    """Neither null nor only white space; never null. The search ends at the first other character."""
+    return F.coalesce(F.rlike(c.cast("string"), F.lit(f"[^{SPACE[1:]}")), F.lit(False))
 
 
 def collapse_spaces(c: Column) -> Column:

@@ -64,8 +64,8 @@ def chosen(candidates: DataFrame, key: str = "id") -> DataFrame:
 
 def longest(candidates: Column) -> Column:
     """The first longest of an array of structs with ``text``; null when empty."""
-    longest_ = F.array_max(F.transform(candidates, lambda c: F.length(c["text"])))
-    return F.try_element_at(F.filter(candidates, lambda c: F.length(c["text"]) == longest_), F.lit(1))
+    sizes = F.transform(candidates, lambda c: F.length(c["text"]))
+    return F.get(candidates, F.array_position(sizes, F.array_max(sizes)).cast("int") - 1)
 
 
 def fallback_candidate() -> Column:
