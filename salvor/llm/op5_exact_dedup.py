@@ -42,6 +42,21 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     return keyed.join(best, "key").select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts, and
+    one of rows alike in doc_id and normalised text. Only these two columns are looked up, so
+    the texts move in one exchange."""
+    kept = exact_groups(docs).where("kept").select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.col("text_sha256").alias("sha")).distinct()
+    key = ["id", "none", "sha"]
+    norm = F.regexp_replace(F.coalesce("text", F.lit("")), f"[{WHITE}]+", "")
+    own = docs.select(
+        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.sha2(norm.cast("binary"), 256).alias("sha"),
+        F.coalesce(F.length("text"), F.lit(0)).alias("n"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    best = F.max_by("row", F.struct("n", F.xxhash64("row.text"))).alias("row")
+    return own.join(kept, key, "left_semi").groupBy(*key).agg(best).select(*[F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def op5_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
