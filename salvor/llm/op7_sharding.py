@@ -31,55 +31,82 @@ def hilbert_index(df: DataFrame, dims: list[str], bits: int, out: str) -> DataFr
     return df.withColumn(out, F.expr(weave)).drop("__x", "__t")
 
 
+def places(values: DataFrame, name: str, bits: int) -> DataFrame:
+    """(__v, __q): for each of the distinct ``values(name)`` its place among them in order, null
+    after all, scaled to ``bits`` bits. Values are dealt by range and ranked within their
+    partition; only the partitions' counts meet in one task."""
+    order = F.col(name).asc_nulls_last()
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = values.repartitionByRange(n, order).select(F.col(name), F.spark_partition_id().alias("__part"))
+    dealt = staged(dealt, "values")
+    sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"), F.sum("__n").over(Window.partitionBy()).alias("__top"))
+    rank = F.col("__first") + F.row_number().over(Window.partitionBy("__part").orderBy(order)) - 1
+    return dealt.join(F.broadcast(sizes), "__part").select(F.col(name).alias("__v"), F.floor(rank * (1 << bits) / F.col("__top")).cast("int").alias("__q"))
+
+
 def codes(docs: DataFrame, names: list[str], bits: int) -> DataFrame:
-    """One row per combination of the text dimensions ``names`` with, for each, its value's place
-    among the distinct values scaled to ``bits`` bits (null after all). The windows see one row
-    per combination, not per document."""
-    out = docs.select(*names).distinct()
+    """One row per combination of the text dimensions ``names`` with the place of each value."""
+    out = staged(docs.select(*names).distinct(), "combinations")
     for name in names:
-        order = Window.orderBy(F.col(name).asc_nulls_last())
-        out = out.withColumn(f"__r_{name}", F.dense_rank().over(order) - 1)
-        top = F.max(f"__r_{name}").over(Window.partitionBy()) + 1
-        out = out.withColumn(f"__q_{name}", F.floor(F.col(f"__r_{name}") * (1 << bits) / top).cast("int")).drop(f"__r_{name}")
+        known = places(out.select(name).distinct(), name, bits).withColumnRenamed("__q", f"__q_{name}")
+        out = out.join(known, out[name].eqNullSafe(known["__v"])).drop("__v")
     return staged(out, "codes")
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 16, names: tuple[str, ...] = ("source", "lang"), bits: int = BITS) -> DataFrame:
-    """Deal ``docs(doc_id, text, *names)`` into ``shards`` runs of a Hilbert curve over the text
-    dimensions ``names`` and the size's logarithm: file statistics of a shard then bound every
-    dimension at once. Counts of shards differ by one at most (law ``rows``).
-
-    Rows are counted by cell (at most 2^(3 bits) for two names, which bounds every table that
-    is broadcast or windowed whole), cells are placed on the curve, and rows are ranked within
-    their cell by hash buckets, so neither a common source nor a group of copies meets in one
-    task. A null text has no bytes; nulls are values of their own; rows alike in all columns
-    stand next to each other in either order; an empty table gives no rows.
-    """
+def placed(docs: DataFrame, shards: int, names: tuple[str, ...], bits: int, whole: bool = False) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot of each row, and with ``whole`` the row itself."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    slim = docs.select(F.col("doc_id"), size.alias("size"), crc.alias("text_crc32"), *names)
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
+    slim = docs.select(F.col("doc_id"), size.alias("size"), crc.alias("text_crc32"), *names, *carried)
     known = codes(docs, list(names), bits)
-    same = [slim[n].eqNullSafe(known[n]) for n in names]
+    on = F.lit(True)
+    for n in names:
+        on = on & slim[n].eqNullSafe(known[n])
     level = F.least(F.lit((1 << bits) - 1), F.floor(F.log2("size") * (1 << bits) / 32).cast("int"))
     dims = [f"__q_{n}" for n in names] + ["__q_size"]
     cell = sum((F.col(d).cast("long") * (1 << (bits * i)) for i, d in enumerate(dims)), F.lit(0).cast("long"))
-    on = same[0]
-    for x in same[1:]:
-        on = on & x
-    rows = slim.join(known, on).withColumn("__q_size", level).select("doc_id", "size", "text_crc32", cell.alias("cell"))
-    rows = staged(rows, "cells")
+    keep = ["doc_id", "size", "text_crc32"] + ["row"] * whole
+    rows = staged(slim.join(known, on).withColumn("__q_size", level).select(*keep, cell.alias("cell")), "cells")
     cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     for i, d in enumerate(dims):
         cells = cells.withColumn(d, F.expr(f"CAST(shiftright(cell, {bits * i}) & {(1 << bits) - 1} AS INT)"))
     cells = hilbert_index(cells, dims, bits, "curve")
     before = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    placed = ranked(rows, "cell", ["doc_id", "text_crc32", "size"])
-    place = F.col("first") + F.col("rank")
-    out = placed.join(F.broadcast(cells), "cell").withColumn("place", place)
+    out = ranked(rows, "cell", ["doc_id", "text_crc32", "size"]).join(F.broadcast(cells), "cell")
+    out = out.withColumn("place", F.col("first") + F.col("rank"))
     out = out.withColumn("shard", F.expr(f"CAST(place * {shards} DIV total AS INT)"))
     start = F.expr(f"(shard * total + {shards - 1}) DIV {shards}")
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("place") - start).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return out.select(*keep, "shard", (F.col("place") - start).cast("long").alias("slot"))
+
+
+def hilbert_shards(docs: DataFrame, shards: int = 16, names: tuple[str, ...] = ("source", "lang"), bits: int = BITS) -> DataFrame:
+    """Deal ``docs(doc_id, text, *names)`` into ``shards`` runs of a Hilbert curve over the text
+    dimensions ``names`` and the size's logarithm: file statistics of a shard then bound every
+    dimension at once. Counts of shards differ by one at most (law ``rows``).
+
+    Rows are counted by cell (at most 2^(3 bits) for two names, which bounds every table that
+    is broadcast or windowed whole), cells are placed on the curve, and rows are ranked within
+    their cell by hash buckets, so neither a common source nor a group of copies meets in one
+    task. A null text has no bytes; nulls are values of their own; rows alike in all columns
+    stand next to each other in either order; an empty table gives no rows.
+    """
+    out = placed(docs, shards, names, bits)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 16, names: tuple[str, ...] = ("source", "lang"), bits: int = BITS) -> None:
+    """Write the rows of ``docs`` as Parquet folders ``shard=N``, each in the order of the curve and
+    cut into as many files as its part of the range exchange has tasks. The folder's shard takes
+    the place of a column of that name; all other columns are written as they are."""
+    out = placed(docs, shards, names, bits, whole=True)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot")
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c != "shard"]
+    out.select("shard", *own).write.partitionBy("shard").parquet(path)
 
 
 def op7_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

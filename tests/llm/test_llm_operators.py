@@ -241,6 +241,17 @@ def test_exact_groups(spark, docs):
         assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(g), i == keep and len(t or "") == most)
 
 
+def test_deduplicated_keeps_one_whole_row_of_each_group(spark, docs):
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    out = op5_exact_dedup.deduplicated(docs)
+    got = out.collect()
+    assert out.columns == docs.columns and len(got) == len({norm(t) for _, t, _ in TEXTS})
+    assert {norm(r["text"]) for r in got} == {norm(t) for _, t, _ in TEXTS}
+    verdict = {r["text_sha256"]: r["keep_id"] for r in op5_exact_dedup.exact_groups(docs).collect()}
+    assert all(verdict[hashlib.sha256(norm(r["text"]).encode()).hexdigest()] == r["doc_id"] and r["th"] == "x" for r in got)
+    assert op5_exact_dedup.deduplicated(docs.limit(0)).count() == 0
+
+
 def test_recipes_rebuild_the_text(spark):
     texts = ["", "a", "ab. " * 900, "x" * 5000, "\U0001f600." * 700, LONG]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
@@ -296,6 +307,27 @@ def test_shards(spark, docs, shards):
         assert max(n) - min(n) <= 1 and set(slots) <= set(range(shards)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_places_rank_values_over_partitions(spark):
+    values = [None] + [f"site-{k:03d}" for k in range(99)]
+    df = spark.createDataFrame([(v,) for v in values], "source string").distinct()
+    got = {r["__v"]: r["__q"] for r in op7_sharding.places(df, "source", 5).collect()}
+    order = sorted(values, key=lambda v: (v is None, v or ""))
+    assert got == {v: k * 32 // 100 for k, v in enumerate(order)}
+
+
+def test_shard_files_hold_all_rows_and_prune(spark, docs, tmp_path):
+    op7_sharding.write_shards(docs, f"file://{tmp_path}/a", 3)
+    back = spark.read.parquet(f"file://{tmp_path}/a")
+    assert sorted(back.columns) == sorted([*docs.columns, "shard"]) and rows_of(back.select(*docs.columns)) == rows_of(docs)
+    d = data(spark, "documents")
+    op7_sharding.write_shards(d, f"file://{tmp_path}/b", 16)
+    back = spark.read.parquet(f"file://{tmp_path}/b")
+    per = back.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source").alias("sources")).collect()
+    n = [r["n"] for r in per]
+    assert rows_of(back.select(*d.columns)) == rows_of(d) and len(n) == 16 and max(n) - min(n) <= 1
+    assert np.mean([r["sources"] for r in per]) < d.select("source").distinct().count() / 2
+
+
 # 8 Quality
 
 
