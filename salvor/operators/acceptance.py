@@ -51,15 +51,24 @@ def judged(pages: DataFrame, page: str = "page") -> DataFrame:
     return out.withColumn("verified_by", F.when(F.size("sources") > 0, F.concat_ws("+", "sources", "body_source")))
 
 
-def chosen(candidates: DataFrame, key: str = "id") -> DataFrame:
+def chosen(candidates: DataFrame, key: str = "id", with_longer: bool = False) -> DataFrame:
     """The first candidate at page or strict level by ``position``; else the best of the rest by
-    rank and length, earlier ones first in ties. A map-side aggregate, no sort."""
+    rank and length, earlier ones first in ties. A map-side aggregate, no sort.
+
+    ``with_longer`` adds ``longer``: the first longest of the unverified texts that an accepted
+    candidate came after, null for the others.
+    """
     rank = level_rank(F.col("verification_level"))
     cols = F.struct(*[c for c in candidates.columns if c != key])
     good = F.min_by(cols, F.when(rank >= 2, F.col("position")))
     rest = F.max_by(cols, F.struct(rank, F.length("text"), -F.col("position")))
     accepted = F.count_if(rank >= 2) > 0
-    return candidates.groupBy(key).agg(F.when(accepted, good).otherwise(rest).alias("x")).select(key, "x.*")
+    x = F.when(accepted, good).otherwise(rest).alias("x")
+    if not with_longer:
+        return candidates.groupBy(key).agg(x).select(key, "x.*")
+    rejected = F.array_sort(F.collect_list(F.when(rank < 2, F.struct("position", "text")))).alias("r")
+    before = F.filter("r", lambda c: c["position"] < F.col("x.position"))
+    return candidates.groupBy(key).agg(x, accepted.alias("a"), rejected).select(key, "x.*", F.when(F.col("a"), longest(before)["text"]).alias("longer"))
 
 
 def longest(candidates: Column) -> Column:

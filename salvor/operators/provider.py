@@ -121,6 +121,12 @@ def live_route(attempts: DataFrame, mode: str = "complete") -> DataFrame:
     return out.select("id", methods.alias("attempted_methods"), saved.alias("accepted"), pending.alias("needs_archive"))
 
 
+def archive_tier_route(attempts: DataFrame) -> DataFrame:
+    """``live_route`` of rows that enter at the archive: their wayback attempts alone."""
+    a = attempts.where("method = 'wayback'").groupBy("id").agg(F.max("terminal").alias("accepted"), F.max("provider_failure").alias("failed"))
+    return a.select("id", F.lit("wayback").alias("attempted_methods"), "accepted", (~F.col("accepted") & F.col("failed")).alias("needs_archive"))
+
+
 REDIRECTS = 5
 
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salvor.functions.html import extract_page
+from salvor.functions.text import has_text
 from salvor.functions.traces import provider_failure, trace_entry
 from salvor.operators import acceptance, queues
-from salvor.operators.levels import from_template, level_rank
-from salvor.operators.provider import live_route
-from salvor.operators.rows import relaxed_union
+from salvor.operators.levels import from_template, is_unverified, level_rank, quality
+from salvor.operators.provider import archive_tier_route, live_route
+from salvor.operators.rows import available, relaxed_union
 from salvor.plans.pipelines import merged
-from salvor.schema import FETCH_METHODS
+from salvor.schema import DEFAULTS, FETCH_METHODS, RESULT_TYPES
 
 
 def candidates(stories: DataFrame, attempts: DataFrame) -> DataFrame:
@@ -26,41 +27,91 @@ def candidates(stories: DataFrame, attempts: DataFrame) -> DataFrame:
     return acceptance.judged(p)
 
 
+SAVED = "__saved"
+
+
+def jobs(stories: DataFrame, saved: DataFrame, mode: str, limit: int | None) -> DataFrame:
+    """A row of the queue's story columns, ``__tier`` (0 live, 1 archive) and ``__saved``: the saved
+    row of an archive job, null for live ones. Archive jobs have the columns of their saved row and
+    those that it lacks of their story, which need not be in the input. Ids of ``saved`` are unique.
+    """
+    todo = queues.work(stories, available(saved, ["id", "needs_archive", "scrape_status", "text"]), mode, limit).select("id", F.col("tier").alias("__tier"))
+    known = saved.select("*", F.struct(*saved.columns).alias(SAVED))
+    known = relaxed_union(known, saved.sparkSession.createDataFrame([], "url string, title string"))
+    late = known.join(todo.where("__tier = 1"), "id").drop(*RESULT_TYPES)
+    own = stories.drop(*RESULT_TYPES).withColumnsRenamed({c: f"__story_{c}" for c in stories.columns if c != "id"})
+    both = [c for c in late.columns if f"__story_{c}" in own.columns]
+    late = late.join(own, "id", "left").withColumns({c: F.coalesce(c, f"__story_{c}") for c in both}).drop(*[f"__story_{c}" for c in both])
+    late = late.withColumnsRenamed({c: c.removeprefix("__story_") for c in late.columns})
+    return relaxed_union(stories.join(todo.where("__tier = 0"), "id"), late)
+
+
 def scrape(stories: DataFrame, saved: DataFrame, attempts: DataFrame, run_id: str, now: str, mode: str = "complete", limit: int | None = None) -> DataFrame:
-    """A result row for each row of the work queue.
+    """A result row for each row of the work queue that has attempts to show.
 
     The best candidate of each fetched page is its attempt's result; the route decides which
     attempts a row went through; the first accepted one wins, else the best by rank and length in
-    that order. Attempt rows of a story (three methods) are folded per story by one aggregate.
+    that order. Rows of the archive tier go through their wayback attempts alone, and their saved
+    row with text stands first among the tries, so that a lesser one doesn't replace it. A longer
+    unverified text of an earlier try, of the accepted page, or saved is kept as the fallback; the
+    reference does so for accepted rows, here no row loses it. Attempt rows of a story (three
+    methods) are folded per story by one aggregate.
     """
-    todo = queues.work(stories, saved.select("id", "needs_archive", "scrape_status", "text"), mode, limit).select("id")
-    live = stories.join(todo, "id", "left_semi")
-    tries = attempts.join(todo, "id", "left_semi")
-    best = acceptance.chosen(candidates(live, tries)).withColumnsRenamed({"id": "key", "text": "got"})
+    todo = jobs(stories, saved, mode, limit)
+    tries = attempts.join(todo.select("id", "__tier"), "id").where("__tier = 0 or method = 'wayback'")
+    best = acceptance.chosen(candidates(todo, tries.drop("__tier")), with_longer=True).withColumnsRenamed({"id": "key", "text": "got"})
     a = tries.withColumn("key", F.concat_ws("|", "id", "method")).join(best, "key", "left")
     terminal = F.coalesce(level_rank(F.col("verification_level")) >= 2, F.lit(False))
     preset = F.when(F.col("method") == "wayback", provider_failure(F.col("status"), F.col("error"), "live")).otherwise(F.lit(False))
-    a = a.select("id", "method", "status", "error", "final_url", F.col("content").isNotNull().alias("has_content"), terminal.alias("terminal"), preset.alias("provider_failure"), "got", "extract_method", "verification_level", "verified_by")
-    route = live_route(a, mode)
+    a = a.select("id", "__tier", "method", "status", "error", "final_url", F.col("content").isNotNull().alias("has_content"), terminal.alias("terminal"), preset.alias("provider_failure"), "got", "longer", "extract_method", "verification_level", "verified_by")
+    route = live_route(a.where("__tier = 0"), mode).unionByName(archive_tier_route(a.where("__tier = 1")))
     order = F.array_position(F.array(*map(F.lit, FETCH_METHODS)), F.col("method")).cast("int")
     used = a.join(route.select("id", "attempted_methods"), "id").where(F.array_contains(F.split("attempted_methods", ","), F.col("method")))
     rank = F.when(F.col("got").isNotNull(), level_rank(F.col("verification_level"))).otherwise(-1)
-    pick = F.struct(order.alias("no"), rank.alias("rank"), F.length(F.coalesce("got", F.lit(""))).alias("len"), "method", "status", "error", "final_url", "got", "extract_method", "verification_level", "verified_by")
+    pick = F.struct(order.alias("no"), rank.alias("rank"), F.length(F.coalesce("got", F.lit(""))).alias("len"), "method", "status", "error", "final_url", "got", "longer", "extract_method", "verification_level", "verified_by")
     entry = trace_entry(method=F.col("method"), status=F.col("status"), error=F.col("error"), source_url=F.col("final_url"))
     folded = used.groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct(order.alias("no"), F.to_json(entry).alias("json")))).alias("trace"),
         F.array_sort(F.collect_list(pick)).alias("tries"), F.max("has_content").alias("any_content"),
-    ).join(route, "id")
-    b = folded.withColumn("b", acceptance.best_candidate(F.filter("tries", lambda t: t["rank"] >= 0)))
-    out = stories.join(b, "id", "inner").withColumnRenamed("needs_archive", "__pending").withColumnRenamed("attempted_methods", "__methods")
-    rows = from_template(out, {
+    ).join(route.withColumnsRenamed({"needs_archive": "__pending", "attempted_methods": "__methods"}), "id")
+    out = todo.join(folded, "id")
+    old = {c: (F.col(SAVED)[c] if c in saved.columns else F.lit(None)).cast(t) for c, t in RESULT_TYPES.items()}
+    was = quality(old["verification_level"], old["target_verified"], old["text"])
+    blank = {"no": F.lit(0), "rank": was, "len": F.length(old["text"]), "got": old["text"], "verification_level": old["verification_level"]}
+    kinds = {x.name: x.dataType for x in out.schema["tries"].dataType.elementType}
+    held = F.struct(*[blank.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+    good = F.filter("tries", lambda t: t["rank"] >= 0)
+    folds = F.concat(F.when(has_text(old["text"]), F.array(held)).otherwise(F.array().cast(out.schema["tries"].dataType)), good)
+    first = F.try_element_at(F.filter(good, lambda t: t["rank"] >= 2), F.lit(1))
+    out = out.withColumn("b", F.when(F.col("accepted"), first).otherwise(acceptance.best_candidate(folds)))
+    kept = F.coalesce(F.col("b.no") == 0, F.lit(False))
+    new = {
         "scrape_status": acceptance.live_final(F.col("b"), F.col("any_content")), "fetch_method": F.col("b.method"), "extract_method": F.col("b.extract_method"), "text": F.col("b.got"),
         "text_length": F.coalesce(F.length("b.got"), F.lit(0)).cast("long"), "final_url": F.col("b.final_url"), "http_status": F.element_at("tries", -1)["status"].cast("long"), "fetch_error": F.when(F.col("b").isNull(), F.element_at("tries", -1)["error"]),
         "verification_level": F.coalesce("b.verification_level", F.lit("no_text")), "verified_by": F.col("b.verified_by"), "target_verified": F.coalesce(F.col("b.verification_level") == "strict_verified", F.lit(False)),
-        "needs_archive": F.col("__pending"), "attempted_methods": F.col("__methods"), "attempt_trace": F.concat(F.lit("["), F.array_join(F.transform("trace", lambda t: t["json"]), ","), F.lit("]")),
-        "pipeline_run_id": F.lit(run_id), "completed_at": F.lit(now),
+        "pipeline_run_id": F.lit(run_id), "playwright_outcome": old["playwright_outcome"],
+        **longer_of_page(F.col("b.longer"), F.col("b.got"), F.col("b.method")),
+    }
+    default = {c: F.lit(DEFAULTS.get(c)).cast(t) for c, t in RESULT_TYPES.items()}
+    settled = {c: F.when(kept, old[c]).otherwise(new.get(c, default[c])) for c in RESULT_TYPES}
+    rows = from_template(out, settled | {
+        "needs_archive": F.col("__pending"), "attempted_methods": F.col("__methods"), "attempt_trace": F.concat(F.lit("["), F.array_join(F.transform("trace", lambda t: t["json"]), ","), F.lit("]")), "completed_at": F.lit(now),
     })
-    return rows.drop("b", "tries", "trace", "any_content", "accepted", "__pending", "__methods")
+    # saved texts first, then those of the tries in their order
+    texts = F.array(
+        F.when(is_unverified(old["verification_level"], old["target_verified"], old["text"]), F.struct(old["text"].alias("text"), old["fetch_method"].alias("method"))),
+        F.when(has_text(old["fallback_text"]), F.struct(old["fallback_text"].alias("text"), old["fallback_fetch_method"].alias("method"))),
+    )
+    fresh = F.transform(F.filter("tries", lambda t: t["rank"] == 1), lambda t: F.struct(t["got"].alias("text"), t["method"].alias("method")))
+    rows = rows.withColumn("alt", acceptance.longest(F.filter(F.concat(texts, fresh), lambda t: t.isNotNull())))
+    rows = acceptance.attach_longer(rows, F.col("alt.text"), F.col("alt.method"))
+    return rows.drop("alt", "b", "tries", "trace", "any_content", "accepted", "__pending", "__methods", "__tier", SAVED)
+
+
+def longer_of_page(text: Column, own: Column, method: Column) -> dict[str, Column]:
+    """Fallback columns from a longer unverified text of the accepted page."""
+    more = F.length(text) > F.length(own)
+    return {"fallback_text": F.when(more, text), "fallback_text_length": F.when(more, F.length(text).cast("long")), "fallback_fetch_method": F.when(more, method)}
 
 
 def scrape_and_merge(stories: DataFrame, saved: DataFrame, attempts: DataFrame, run_id: str, now: str, mode: str = "complete") -> DataFrame:
