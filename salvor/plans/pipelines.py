@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salvor.functions.text import has_text
+from salvor.operators.acceptance import preserve_longest
 from salvor.operators.levels import backfill, quality, rewrite_status, unverified_length, with_text_length
 from salvor.operators.metrics import ambiguous_sources, outcome_stats, outcome_stats_by_country, recovered_by_method
 from salvor.operators.queues import completed_ids, unfinished
@@ -17,6 +18,7 @@ from salvor.schema import COUNTRIES, RESULT_TYPES
 from salvor.sources import files
 
 MANIFEST_STATES = ("prepared", "running", "processed", "completed", "failed", "interrupted")
+FALLBACK = ("fallback_text", "fallback_text_length", "fallback_fetch_method")
 RUN_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 
@@ -123,7 +125,8 @@ def prepare_run(spark: SparkSession, folder: str, run_dir: str, shards: int, run
 
 def resume_rows(rows: DataFrame, result: DataFrame | None, parts: DataFrame | None) -> DataFrame:
     """Rows of a shard still to do, each replaced by its best saved deferred row where that is at
-    least as good, with the longer unverified text of the two kept."""
+    least as good. The longest unverified text of the two, saved fallbacks included, is kept as the
+    fallback where it is longer than the winner's text."""
     from salvor.operators.rows import best_deferred
 
     todo = unfinished(rows, completed_ids(result, parts))
@@ -131,11 +134,20 @@ def resume_rows(rows: DataFrame, result: DataFrame | None, parts: DataFrame | No
         return todo
     q = lambda p="": quality(F.col(f"{p}verification_level"), F.col(f"{p}target_verified"), F.col(f"{p}text"))
     held = parts.where(F.coalesce(F.col("needs_archive"), F.lit(False)))
-    best = align(best_deferred(held, q()), todo.columns)
+    extra = [c for c in ("fetch_method", *FALLBACK) if c not in todo.columns]
+    todo = todo.withColumns({c: F.lit(None).cast(RESULT_TYPES[c]) for c in extra})
+    best = align(best_deferred(held, q()), todo.columns, {c: RESULT_TYPES[c] for c in ("fetch_method", *FALLBACK)})
     both = todo.join(best.select("id", F.struct(*best.columns).alias("p")), "id", "left")
     longer = F.length(F.coalesce("p.text", F.lit(""))) >= F.length(F.coalesce("text", F.lit("")))
     take = F.col("p").isNotNull() & ((q("p.") > q()) | ((q("p.") == q()) & longer))
-    return both.select("id", *[F.when(take, F.col(f"p.{c}")).otherwise(F.col(c)).alias(c) for c in todo.columns if c != "id"])
+
+    def one(text: str, method: str, level: Column, verified: Column) -> Column:
+        return F.struct(F.col(text).alias("text"), F.col(method).alias("fetch_method"), level.alias("verification_level"), verified.alias("target_verified"))
+
+    own = [one(f"{p}text", f"{p}fetch_method", F.col(f"{p}verification_level"), F.col(f"{p}target_verified")) for p in ("", "p.")]
+    saved = [one(f"{p}fallback_text", f"{p}fallback_fetch_method", F.lit("unverified_text"), F.lit(False)) for p in ("", "p.")]
+    won = both.select("id", *[F.when(take, F.col(f"p.{c}")).otherwise(F.col(c)).alias(c) for c in todo.columns if c != "id"], F.array(*own, *saved).alias("__texts"))
+    return preserve_longest(won, F.col("__texts")).drop("__texts", *(c for c in extra if c == "fetch_method"))
 
 
 def finalised(parts: DataFrame, expected: int) -> DataFrame:

@@ -66,6 +66,21 @@ def test_resume_rows_take_the_better_deferred(spark):
     assert got == {"1": "found", "2": "base text"}
 
 
+def test_resume_rows_keep_the_longest_unverified_text(spark):
+    kind = SAVED + ", fallback_text string, fallback_text_length long, fallback_fetch_method string"
+    no = (None, None, None)
+    base = spark.createDataFrame([
+        (*row("1", "u" * 90, "unverified_text", pending=True), *no), (*row("2", "b", "page_verified", pending=True), *no),
+        (*row("3", "same", "unverified_text", pending=True), "f" * 80, 80, "playwright"), (*row("4", "alone", "unverified_text", pending=True), "g" * 70, 70, "requests"),
+    ], kind)
+    held = [row("1", "page", "page_verified", pending=True, method="wayback"), row("2", "v" * 60, "unverified_text", pending=True, method="wayback"), row("3", "same+", "unverified_text", pending=True, method="wayback")]
+    parts = spark.createDataFrame([(*r, *no) for r in held], kind).withColumns({"__part": F.lit(0), "__pos": F.monotonically_increasing_id()})
+    got = {r["id"]: (r["text"], r["fallback_text"], r["fallback_text_length"], r["fallback_fetch_method"]) for r in pipelines.resume_rows(base, None, parts).collect()}
+    assert got == {"1": ("page", "u" * 90, 90, "requests"), "2": ("b", "v" * 60, 60, "wayback"), "3": ("same+", "f" * 80, 80, "playwright"), "4": ("alone", "g" * 70, 70, "requests")}
+    bare = pipelines.resume_rows(base.select(*[c.split()[0] for c in SAVED.split(", ")]).drop("fetch_method"), None, parts)
+    assert "fetch_method" not in bare.columns and {r["id"]: r["fallback_text_length"] for r in bare.collect()} == {"1": 90, "2": 60, "3": None, "4": None}
+
+
 def test_cascade_choice(spark):
     data = [("a", 0, "u", "unverified_text"), ("a", 1, "p", "page_verified"), ("a", 2, "s", "strict_verified"), ("b", 0, "xx", "unverified_text"), ("b", 1, "yy", "unverified_text"), ("b", 2, "zzz", "unverified_text")]
     got = {r["id"]: r["text"] for r in acceptance.chosen(spark.createDataFrame(data, "id string, position int, text string, verification_level string")).collect()}
