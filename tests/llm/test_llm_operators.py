@@ -133,6 +133,20 @@ def test_embeddings(spark):
         assert out == want
 
 
+def test_embeddings_are_linked_across_hundreds_of_lists(spark):
+    rng = np.random.default_rng(1)
+    x, z = (rng.normal(size=(2500, 64)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    every = np.concatenate([x, 0.932 * x + np.sqrt(1 - 0.932**2) * z])
+    index = op2_embeddings.fit(rng.normal(size=(6000, 64)).tolist(), 64, 512 * 300)
+    classes = spark.createDataFrame([(k, "g", v, 1) for k, v in enumerate(every.tolist())], "cid long, grp string, embedding array<double>, copies long")
+    links = op2_embeddings.close_links(classes, index).agg(F.sum("degree")).first()[0] / 2
+    want = (np.triu(every @ every.T, 1) >= op2_embeddings.COSINE).sum()
+    assert len(index.centroids) == 300 and want >= 2500 and 0.998 * want <= links <= want
+
+
 def test_table_cosines_bound_the_cosine():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(500, 20))
