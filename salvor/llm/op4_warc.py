@@ -23,6 +23,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: for nothing, so that what the writer makes on any file system is a plain multi-member file.
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+#: Where a record may begin; one search for both, so that a file is passed over once.
+PLAIN, START = re.compile(re.escape(VERSION)), re.compile(re.escape(MAGIC) + b"|" + re.escape(VERSION))
 RECORDS_A_FILE = 20_000
 
 
@@ -52,7 +54,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 @dataclass
 class Found:
-    """A record, or a gap of bytes that no valid record covers. Offsets are in the file."""
+    """A record, or a gap of bytes that no valid record covers. Offsets are in the file: those of a
+    member's records are the member's, and its length is the first one's, 0 for the others."""
 
     offset: int
     length: int
@@ -65,32 +68,29 @@ class Damaged(ValueError):
     pass
 
 
-def parse(data: memoryview | bytes, at: int, whole: bool) -> Found:
-    """The uncompressed record at ``at``; ``whole``: it must end with the data. Checks the version
-    line, fields, length, end mark and block digest."""
-    if bytes(data[at : at + len(VERSION)]) != VERSION:
+def parse(data: bytes, at: int) -> Found:
+    """The uncompressed record at ``at``. Checks the version line, fields, length, end mark and
+    block digest. A header may be of any length; its first line without a colon ends the try."""
+    if not data.startswith(VERSION, at):
         raise Damaged("no version line")
-    size = 1 << 12
-    while (end := bytes(data[at : at + size]).find(b"\r\n\r\n")) < 0:
-        if at + size >= len(data) or size > 1 << 20:
+    fields, start = {}, None
+    while (end := data.find(b"\r\n", at if start is None else start)) != start:
+        if end < 0:
             raise Damaged("header without end")
-        size *= 2
-    fields = {}
-    for line in bytes(data[at : at + end]).split(b"\r\n")[1:]:
-        name, mid, value = line.partition(b":")
-        if not mid:
-            raise Damaged("header line without colon")
-        fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        if start is not None:
+            name, mid, value = data[start:end].partition(b":")
+            if not mid:
+                raise Damaged("header line without colon")
+            fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        start = end + 2
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Damaged("no length")
-    start = at + end + 4
+    start += 2
     stop = start + int(length)
-    if bytes(data[stop : stop + 4]) != b"\r\n\r\n":
+    if data[stop : stop + 4] != b"\r\n\r\n":
         raise Damaged("no end mark where the length ends")
-    if whole and stop + 4 != len(data):
-        raise Damaged("more than one record in a member")
-    block = bytes(data[start:stop])
+    block = data[start:stop]
     digest = fields.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest != sha1_field(block):
         raise Damaged("block digest differs")
@@ -111,46 +111,52 @@ def member(data: memoryview, at: int) -> tuple[bytes, int]:
     return b"".join(out), min(pos, len(data)) - len(run.unused_data) - at
 
 
-def at_offset(data: memoryview, at: int) -> Found | int:
-    """The record at ``at``, or the length of a member without content."""
-    if bytes(data[at : at + 3]) == MAGIC:
-        inner, length = member(data, at)
-        if not inner:
-            return length
-        found = parse(inner, 0, True)
-        found.offset, found.length = at, length
-        return found
-    return parse(data, at, False)
-
-
-def salvage(content: bytes) -> Iterator[Found]:
-    """All valid records of a file, compressed or not, with the gaps between them.
-
-    Where checks fail, the next place is sought at which a gzip member or a version line begins
-    a valid record; the bytes passed over are reported as one gap.
-    """
-    data, at, gap, why = memoryview(content), 0, None, ""
+def at_offset(data: bytes, at: int, packed: bool) -> tuple[list[Found], int]:
+    """The records at ``at``, one of a plain file or all of a gzip member with the gaps between
+    them, and how many bytes they take. A member may be without content, but not of gaps alone."""
+    if packed and data.startswith(MAGIC, at):
+        inner, length = member(memoryview(data), at)
+        found = list(spans(inner, False))
+        if inner and all(f.gap is not None for f in found):
+            raise Damaged(found[0].gap)
+        for k, f in enumerate(found):
+            f.offset, f.length = at, 0 if k else length
+        return found, length
+    one = parse(data, at)
+    return [one], one.length
+
+
+def spans(data: bytes, packed: bool) -> Iterator[Found]:
+    """``salvage``; without ``packed``, of plain records alone."""
+    at, gap, why = 0, None, ""
     while at < len(data):
         try:
-            found = at_offset(data, at)
+            found, length = at_offset(data, at, packed)
         except Damaged as e:
             if gap is None:
                 gap, why = at, str(e)
-            places = [p for p in (content.find(MAGIC, at + 1), content.find(VERSION, at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+            place = (START if packed else PLAIN).search(data, at + 1)
+            at = place.start() if place else len(data)
             continue
         if gap is not None:
             yield Found(gap, at - gap, gap=why)
             gap = None
-        if isinstance(found, int):
-            at += found
-        else:
-            yield found
-            at += found.length
+        yield from found
+        at += length
     if gap is not None:
         yield Found(gap, len(data) - gap, gap=why)
 
 
+def salvage(content: bytes) -> Iterator[Found]:
+    """All valid records of a file, compressed or not, with the gaps between them.
+
+    Where checks fail, the next place is sought at which a gzip member or a version line begins
+    a valid record; the bytes passed over are reported as one gap. What a member holds is searched
+    in the same way, so it may be the whole file; a member whose own checksum fails is a gap.
+    """
+    return spans(content, True)
+
+
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write a record for each row of ``pages(page_id, url, html)`` to compressed files in ``path``.
 

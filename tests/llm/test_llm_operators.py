@@ -217,6 +217,26 @@ def test_salvage_of_plain_files_and_noise():
     assert [f.length for f in op4_warc.salvage(b"\x1f\x8b\x08" * 1000)] == [3000] and list(op4_warc.salvage(b"")) == []
 
 
+def test_salvage_of_many_records_in_a_member():
+    plain = [gzip.decompress(p) for p in archive(5)]
+    urns = [op4_warc.page_urn(k) for k in range(5)]
+    one = gzip.compress(b"".join(plain), mtime=0)
+    found = list(op4_warc.salvage(one))
+    assert [f.fields["warc-record-id"] for f in found] == urns and sum(f.length for f in found) == len(one)
+    broken = plain[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    mixed = archive(1)[0] + gzip.compress(plain[0] + broken + plain[2], mtime=0) + gzip.compress(broken, mtime=0) + gzip.compress(plain[3] + b"junk", mtime=0)
+    found = list(op4_warc.salvage(mixed))
+    assert [f.fields.get("warc-record-id") for f in found] == [urns[0], urns[0], None, urns[2], None, urns[3], None]
+    assert sum(f.length for f in found) == len(mixed)
+
+
+def test_salvage_of_a_header_beyond_two_megabytes():
+    far = op4_warc.record(1, "http://e.de/" + "u" * 3_000_000, b"page", None, False)
+    for data in (far, gzip.compress(far, mtime=0), far + b"WARC/1.1\r\nno colon" * 50_000 + far):
+        found = [f for f in op4_warc.salvage(data) if f.gap is None]
+        assert len(found) in (1, 2) and all(len(f.fields["warc-target-uri"]) == 3_000_012 for f in found) and found[-1].block.endswith(b"page")
+
+
 def test_warc_round_trip_of_odd_pages(spark, tmp_path):
     big = "ä" * 600
     pages = [(1, "u", big), (5, None, big), (3, "a b\r\nX: y", big), (None, "v", big), (7, "w", "short"), (8, "w", "short"), (9, "x", None), (10, "y", ""), (5, None, big), (11, "z", "q" * 500_000)]
