@@ -36,7 +36,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     ``cap`` times a source's own, the excess going to the others by weight.
 
     With sources in order of the level at which they reach their cap, prefix sums give the one
-    level of the rest, which repeated resharing comes to. Windows see one row per source.
+    level of the rest, which repeated resharing comes to; where none is left, all are at their cap.
+    Windows see one row per source.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     turn = (F.row_number().over(by_name) - 1) % len(weights)
@@ -48,8 +49,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     after = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     out = out.withColumn("level", (F.sum("source_size").over(whole) * share - before) / after)
     open_ = F.when(F.col("full") > F.col("level"), F.struct("full", "level"))
-    level = F.coalesce(F.min(open_).over(whole)["level"], F.lit(0.0))
-    return out.select("source", "source_size", F.least(F.col("source_size") * float(cap), level * F.col("weight")).alias("target"))
+    level = F.min(open_).over(whole)["level"]
+    most = F.col("source_size") * float(cap)
+    return out.select("source", "source_size", F.coalesce(F.when(level.isNotNull(), F.least(most, level * F.col("weight"))), most).alias("target"))
 
 
 def decisions(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:

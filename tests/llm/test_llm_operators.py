@@ -95,6 +95,14 @@ def test_mixing(spark, docs, small):
     assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in out.collect()) == sum(taken.values())
 
 
+def test_mixing_takes_every_source_at_its_cap(spark):
+    d = spark.createDataFrame([(1, "a b c", "s1"), (2, "d", "s2"), (3, "e f", None)], "doc_id long, text string, source string")
+    for share, cap in ((2, 2), (3, 1), (2.5, 2)):
+        got = {r["doc_id"]: (r["target"], r["taken"]) for r in op1_mixing.decisions(d, share=share, cap=cap).collect()}
+        assert got == {1: (3 * cap, 3 * cap), 2: (cap, cap), 3: (2 * cap, 2 * cap)}
+    assert sorted(r["doc_id"] for r in op1_mixing.mixed(d, share=2, cap=2).collect()) == [1, 1, 2, 2, 3, 3]
+
+
 # 2 Embeddings
 
 
