@@ -90,14 +90,18 @@ class _Tree(HTMLParser):
         self.at.children.append(data)
 
 
+META_CHARSET = re.compile(rb"(?i)<meta\s[^>]*?\bcharset\s*=\s*[\"']?\s*([\w-]+)")
+
+
 def decode(raw: bytes | str | None) -> str:
-    """UTF-8 if it is, else the charset that the document declares, else Latin-1."""
+    """UTF-8 if it is, else the charset that the document declares, else Latin-1. A meta element
+    declares it anywhere, other text in the first 2,048 bytes alone."""
     if raw is None or isinstance(raw, str):
         return raw or ""
     try:
         return bytes(raw).decode("utf-8-sig")
     except UnicodeDecodeError:
-        m = re.search(rb"charset=[\"']?([\w-]+)", bytes(raw)[:2048])
+        m = META_CHARSET.search(bytes(raw)) or re.search(rb"charset=[\"']?([\w-]+)", bytes(raw)[:2048])
         try:
             return bytes(raw).decode(m[1].decode() if m else "latin-1", "replace")
         except LookupError:

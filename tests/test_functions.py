@@ -114,3 +114,13 @@ def test_extraction_of_poor_pages():
     assert html.decode(b"<meta charset='latin-1'>\xe4").endswith("ä")
     assert html.extract("<main>a</main>", "http://x.news.de/", "t", {"news.de": "N", "de": "D"}, {"N": lambda t: ("body", "t")})["fundus_publisher"] == "N"
     assert html.extract("<article>a</article><article>b</article>", "", "")["candidates"][0]["extract_method"] == "trafilatura"
+
+
+def test_charset_is_declared_anywhere():
+    from salvor.functions.html import decode
+
+    late = "<html><head><!--" + "x" * 5000 + '--><meta http-equiv="Content-Type" content="text/html; charset=windows-1251"><title>Новости</title>'
+    assert decode(late.encode("windows-1251")) == late
+    assert decode(late.replace('http-equiv="Content-Type" content="text/html; charset=windows-1251"', "CHARSET = 'windows-1251'").encode("windows-1251")).endswith("<title>Новости</title>")
+    other = "<p>ä" + "x" * 5000 + '<a href="?charset=utf-8">ö</a>'
+    assert decode(other.encode("latin-1")) == other
