@@ -233,3 +233,20 @@ def near_embeddings(vectors: DataFrame, least: float = COSINE, probes: int | Non
 
 def op2_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs of a label by brute force, then each vector's smallest reachable one.
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM embeddings UNION SELECT r.u, l.w FROM reach r JOIN link l ON l.u = r.w)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE u = e.vec_id) AS n_links, c.component_id, c.component_id = e.vec_id AS kept
+FROM embeddings e JOIN (SELECT u, min(w) AS component_id FROM reach GROUP BY u) c ON c.u = e.vec_id
+"""

@@ -43,10 +43,17 @@ class TurnTemplate:
         return turns
 
 
+#: Private-use characters, from which a mark is taken.
+_PRIVATE = (range(0xE000, 0xF900), range(0xF0000, 0xFFFFE), range(0x100000, 0x10FFFE))
+
+
 def _mark(texts: list[str]) -> str:
-    """A character that none of the texts has, to be found again in a rendering."""
+    """A string that none of the texts has, to be found again in a rendering: a private-use
+    character, or a longer run of one than any text has where they hold them all."""
     used = set().union(*texts)
-    return next(chr(c) for c in range(0xE000, 0xF8FF) if chr(c) not in used)
+    free = next((chr(c) for part in _PRIVATE for c in part if chr(c) not in used), None)
+    first = chr(_PRIVATE[0][0])
+    return free or first * (1 + max(len(run) for t in texts for run in re.findall(f"{first}*", t)))
 
 
 def spans(turns: list[Turn], render: Callable[[list[Turn]], str]) -> tuple[str, list[tuple[int, int, int, int] | None], bool]:
@@ -59,25 +66,27 @@ def spans(turns: list[Turn], render: Callable[[list[Turn]], str]) -> tuple[str,
     located in the whole output by a mark, and turns have no span beyond it.
     """
     mark = _mark([x for t in turns for x in t] + [""])
+
+    def place(marked: str, whole: str, start: int) -> tuple[int, int] | None:
+        """Where the text lies in ``whole`` whose mark is in ``marked``; None unless it stands there
+        once and all around it is alike."""
+        head, tail = marked.find(mark, start), len(marked) - marked.find(mark, start) - len(mark)
+        alike = head >= 0 and marked.rfind(mark) == head and head + tail <= len(whole)
+        return (head, len(whole) - tail) if alike and whole.startswith(marked[:head]) and whole.endswith(marked[head + len(mark) :]) else None
+
     before, out, found, rewrites = render([]), render(turns), [], False
-    for k, (role, text) in enumerate(turns):
+    for k, (role, _) in enumerate(turns):
         now = out if k + 1 == len(turns) else render(turns[: k + 1])
         marked = render([*turns[:k], (role, mark)])
-        head = marked.find(mark, len(before))
         if not now.startswith(before) or not marked.startswith(before):
             rewrites = True
             break
-        tail = len(marked) - head - 1
-        known = head >= 0 and marked.count(mark, len(before)) == 1 and now[:head] == marked[:head] and now[len(now) - tail :] == marked[head + 1 :]
-        found.append((len(before), len(now), head, len(now) - tail) if known else None)
+        at = place(marked, now, len(before))
+        found.append((len(before), len(now), *at) if at else None)
         before = now
     if rewrites:
-        found = []
-        for k, (role, _) in enumerate(turns):
-            marked = render([*turns[:k], (role, mark), *turns[k + 1 :]])
-            head, tail = marked.find(mark), len(marked) - marked.find(mark) - 1
-            known = marked.count(mark) == 1 and out[:head] == marked[:head] and out[len(out) - tail :] == marked[head + 1 :]
-            found.append((head, len(out) - tail, head, len(out) - tail) if known else None)
+        at = [place(render([*turns[:k], (role, mark), *turns[k + 1 :]]), out, 0) for k, (role, _) in enumerate(turns)]
+        found = [(*x, *x) if x else None for x in at]
     return out, found, rewrites
 
 
@@ -116,23 +125,30 @@ def formatted(conversations: DataFrame, template=None) -> DataFrame:
 
 def digests(out: DataFrame, template=None, trained: str = "assistant") -> DataFrame:
     """Read formatted conversations back: their turns from the text, and what the loss mask (the
-    text spans of ``trained`` turns) covers, as digests."""
+    text spans of ``trained`` turns) covers, as digests. A turn whose place in the output is
+    unknown masks nothing; ``unlocated`` counts such ``trained`` turns. Rows are those of
+    ``formatted``, so nulls are empty there already; an empty table gives no rows; a text that
+    the template can't read has null for n_turns and turns_sha256."""
     template = template or TurnTemplate()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, told in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                turns = template.parse(text)
-                loss = "".join(template.unescape(text[s["text_start"] : s["text_end"]]) for s in told if s["role"] == trained)
-                whole = "".join(f"{r}\n{t}\n" for r, t in turns)
-                rows.append((len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-            names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            cols = list(zip(*rows, strict=True)) or [()] * 5
+                try:
+                    turns = template.parse(text)
+                    read = len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+                except ValueError:
+                    read = None, None
+                own = [s for s in told if s["role"] == trained]
+                loss = "".join(template.unescape(text[s["text_start"] : s["text_end"]]) for s in own if s["text_start"] is not None)
+                rows.append((*read, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text), sum(s["text_start"] is None for s in own)))
+            names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "unlocated"]
+            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            cols = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["conv_id", *names])
 
-    return out.select("conv_id", "formatted", "spans").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return out.select("conv_id", "formatted", "spans").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, unlocated long")
 
 
 def op3_chat_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +169,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(14 + length(role) + length(text) + len(regexp_extract_all(role || ' ' || text, '\\|### |</turn>')) + len(regexp_extract_all(role, ':'))) AS BIGINT) AS formatted_chars
+       CAST(sum(14 + length(role) + length(text) + len(regexp_extract_all(role || ' ' || text, '\\|### |</turn>')) + len(regexp_extract_all(role, ':'))) AS BIGINT) AS formatted_chars,
+       CAST(0 AS BIGINT) AS unlocated
 FROM t GROUP BY conv_id
 """

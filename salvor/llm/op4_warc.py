@@ -22,16 +22,34 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A gzip member without content. Spark's text writer puts it between records, where it stands
 #: for nothing, so that what the writer makes on any file system is a plain multi-member file.
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
-MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+MAGIC, VERSION = b"\x1f\x8b\x08", rb"WARC/\d\.\d+\r\n"
 #: Where a record may begin; one search for both, so that a file is passed over once.
-PLAIN, START = re.compile(re.escape(VERSION)), re.compile(re.escape(MAGIC) + b"|" + re.escape(VERSION))
-RECORDS_A_FILE = 20_000
+PLAIN, START = re.compile(VERSION), re.compile(re.escape(MAGIC) + b"|" + VERSION)
+#: Compressed bytes of an archive file, but for its last record, and the largest file that is read.
+FILE_BYTES, READ_BYTES = 32 << 20, (1 << 31) - (1 << 20)
+#: Characters of a digest by its algorithm, in hex and in base32.
+_DIGESTS = {"md5": (32, 26), "sha1": (40, 32), "sha256": (64, 52), "sha512": (128, 103)}
 
 
 def sha1_field(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def digest_hex(value: str) -> tuple[str, str] | None:
+    """Algorithm and lower-case hex of a digest field such as ``sha1:...`` in hex or base32, in any
+    case and with or without padding; None where it can't be read."""
+    name, _, text = value.strip().partition(":")
+    name, text = name.strip().lower().replace("-", ""), text.strip().rstrip("=")
+    if name not in _DIGESTS or len(text) not in _DIGESTS[name]:
+        return None
+    try:
+        if len(text) == _DIGESTS[name][0]:
+            return name, bytes.fromhex(text).hex()
+        return name, base64.b32decode(text.upper() + "=" * (-len(text) % 8)).hex()
+    except ValueError:
+        return None
+
+
 def page_urn(page_id: int | None) -> str:
     return f"<urn:salvor:page:{'' if page_id is None else page_id}>"
 
@@ -68,31 +86,49 @@ class Damaged(ValueError):
     pass
 
 
-def parse(data: bytes, at: int) -> Found:
-    """The uncompressed record at ``at``. Checks the version line, fields, length, end mark and
-    block digest. A header may be of any length; its first line without a colon ends the try."""
-    if not data.startswith(VERSION, at):
-        raise Damaged("no version line")
-    fields, start = {}, None
-    while (end := data.find(b"\r\n", at if start is None else start)) != start:
+def header(data: bytes, start: int) -> tuple[dict[str, str], int]:
+    """The fields from ``start`` on, names in lower case, and where the block begins. A line that
+    begins with white space goes on with the field before it; of a field that stands twice, the
+    last counts. A header may be of any length; its first line without a colon ends the try."""
+    fields, name = {}, None  # name: of the field that a folded line goes on with
+    while (end := data.find(b"\r\n", start)) != start:
         if end < 0:
             raise Damaged("header without end")
-        if start is not None:
-            name, mid, value = data[start:end].partition(b":")
+        line = data[start:end]
+        if line[:1] in (b" ", b"\t") and name is not None:
+            fields[name] = f"{fields[name]} {line.decode('utf-8', 'replace').strip()}".strip()
+        else:
+            left, mid, value = line.partition(b":")
             if not mid:
                 raise Damaged("header line without colon")
-            fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+            name = left.decode("latin-1").strip().lower()
+            fields[name] = value.decode("utf-8", "replace").strip()
         start = end + 2
-    length = fields.get("content-length", "")
-    if not (length.isascii() and length.isdigit()):
+    return fields, start + 2
+
+
+def whole_number(text: str | None) -> int | None:
+    """A count of bytes that fits a signed 64-bit number, else None."""
+    text = (text or "").strip()
+    return int(text) if text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
+def parse(data: bytes, at: int) -> Found:
+    """The uncompressed record at ``at``, of any version. Checks the version line, fields, length,
+    end mark and block digest; a digest of unknown kind or form can't be checked and isn't."""
+    m = PLAIN.match(data, at)
+    if not m:
+        raise Damaged("no version line")
+    fields, start = header(data, m.end())
+    length = whole_number(fields.get("content-length"))
+    if length is None:
         raise Damaged("no length")
-    start += 2
-    stop = start + int(length)
+    stop = start + length
     if data[stop : stop + 4] != b"\r\n\r\n":
         raise Damaged("no end mark where the length ends")
     block = data[start:stop]
-    digest = fields.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and digest != sha1_field(block):
+    known = digest_hex(fields.get("warc-block-digest", ""))
+    if known and hashlib.new(known[0], block).hexdigest() != known[1]:
         raise Damaged("block digest differs")
     return Found(at, stop + 4 - at, fields, block)
 
@@ -163,9 +199,10 @@ def write_archives(pages: DataFrame, path: str) -> None:
     Payload is the html in UTF-8 (null: empty). Of equal payloads of 1000 bytes or more, the row
     with the largest page_id is the response, and the others, a row alike to it excepted, refer
     to it. Equal payloads meet as digests and lengths only. Nulls in page_id and url, empty
-    pages and repeated rows make records like any other; an empty table makes no records.
+    pages and repeated rows make records like any other; an empty table makes no records. A file
+    ends with the record that brings it to FILE_BYTES.
     """
-    arrow_batches(pages.sparkSession, 500)
+    arrow_batches(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "bytes": F.octet_length("payload")})
@@ -174,12 +211,20 @@ def write_archives(pages: DataFrame, path: str) -> None:
     rows = rows.join(same, ["digest", "bytes"], "left").select("page_id", "url", "payload", "first", (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).alias("again"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = bytearray()
         for batch in batches:
-            out = [gzip.compress(record(*(c.as_py() for c in r)), 6, mtime=0) for r in zip(*batch.columns, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
+            for row in zip(*batch.columns, strict=True):
+                if file:
+                    file += EMPTY_MEMBER
+                file += gzip.compress(record(*(c.as_py() for c in row)), 6, mtime=0)
+                if len(file) >= FILE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([bytes(file)], pa.binary())], ["members"])
+                    file.clear()
+        if file:
+            yield pa.RecordBatch.from_arrays([pa.array([bytes(file)], pa.binary())], ["members"])
 
-    members = rows.mapInArrow(run, "member binary").select(F.col("member").cast("string"))
-    members.write.options(lineSep=EMPTY_MEMBER.decode("latin-1"), encoding="ISO-8859-1", maxRecordsPerFile=RECORDS_A_FILE).text(path)
+    files = rows.mapInArrow(run, "members binary").select(F.col("members").cast("string"))
+    files.write.options(lineSep=EMPTY_MEMBER.decode("latin-1"), encoding="ISO-8859-1", maxRecordsPerFile=1).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -187,31 +232,35 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     (why the bytes were passed over; null for a record), page_id, record_type, refers_to,
     payload_bytes, payload_digest (hex), url, payload (null for a revisit).
 
-    A file is read whole into one task: the writer above bounds its files.
+    Payload is what follows the HTTP header of an HTTP record, and the whole block of another. What
+    a header lacks or says in a form that can't be read is null, and no header ends the job; ids of
+    foreign records are null. An empty file or folder gives no rows. A file is read whole into one
+    task, whose memory it must fit: the writer above bounds its own. One that is larger than Spark
+    reads whole (READ_BYTES) is a gap from its first byte to its last.
     """
-    arrow_batches(spark, 8)
+    arrow_batches(spark)
     names = ["file", "offset", "length", "gap", "page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "url", "payload"]
     types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
     schema = ", ".join(f"{n} {'binary' if n == 'payload' else 'long' if t == pa.int64() else 'string'}" for n, t in zip(names, types, strict=True))
 
     def page(urn: str) -> int | None:
-        m = re.fullmatch(r"<urn:salvor:page:(-?\d+)>", urn)
-        return int(m[1]) if m else None
+        m = re.fullmatch(r"<urn:salvor:page:(-?)(\d{1,18})>", urn)
+        return int(m[1] + m[2]) if m else None
 
     def row(file: str, f: Found) -> tuple:
         if f.gap is not None:
             return (file, f.offset, f.length, f.gap) + (None,) * 7
-        head, _, body = f.block.partition(b"\r\n\r\n")
         kind = f.fields.get("warc-type", "")
-        digest = f.fields.get("warc-payload-digest", "")
-        known = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None
+        http = f.fields.get("content-type", "application/http").lower().startswith("application/http")
+        head, _, body = f.block.partition(b"\r\n\r\n") if http else (b"", b"", f.block)
         if kind == "revisit":
-            m = re.search(rb"(?im)^content-length:\s*(\d+)", head)
-            size, payload = int(m[1]) if m else None, None
+            m = re.search(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r?$", head)
+            known = digest_hex(f.fields.get("warc-payload-digest", ""))
+            size, digest, payload = whole_number(m[1].decode() if m else None), known[1] if known else None, None
         else:
-            size, known, payload = len(body), hashlib.sha1(body).hexdigest(), body
+            size, digest, payload = len(body), hashlib.sha1(body).hexdigest(), body
         refers = page(f.fields.get("warc-refers-to", ""))
-        return (file, f.offset, f.length, None, page(f.fields.get("warc-record-id", "")), kind, refers, size, known, f.fields.get("warc-target-uri"), payload)
+        return (file, f.offset, f.length, None, page(f.fields.get("warc-record-id", "")), kind, refers, size, digest, f.fields.get("warc-target-uri"), payload)
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
@@ -228,8 +277,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(run, schema)
+    files = spark.read.format("binaryFile").load(path)
+    read = files.where(F.col("length") <= READ_BYTES).select("path", "content").mapInArrow(run, schema)
+    large = files.where(F.col("length") > READ_BYTES)
+    passed = {"file": F.col("path"), "offset": F.lit(0), "length": F.col("length"), "gap": F.lit("file too large to be read whole")}
+    return read.unionByName(large.select(*[passed.get(x.name, F.lit(None)).cast(x.dataType).alias(x.name) for x in read.schema]))
 
 
 def op4_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:

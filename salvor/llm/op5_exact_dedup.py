@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salvor.llm.common import WHITE, staged, table
+from salvor.llm.common import WHITE, of_row, staged, table, whole_row
 
-#: A chunk ends at the first stop character after ``least`` characters, or at ``most``.
-CHUNK = r"(?s).{{{least},{last}}}?[.!?;:|]|.{{{most}}}|.+"
+#: A chunk ends at the first stop character after ``least`` characters, or at ``most``. Stops are
+#: punctuation of any script, so that texts in none but ideographs are cut by what they hold too.
+CHUNK = r"(?s).{{{least},{last}}}?[|\p{{Po}}]|.{{{most}}}|.+"
 
 
 def recipes(docs: DataFrame, least: int = 256, most: int = 2048) -> DataFrame:
@@ -51,10 +52,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     norm = F.regexp_replace(F.coalesce("text", F.lit("")), f"[{WHITE}]+", "")
     own = docs.select(
         F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.sha2(norm.cast("binary"), 256).alias("sha"),
-        F.coalesce(F.length("text"), F.lit(0)).alias("n"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.length("text"), F.lit(0)).alias("n"), whole_row(docs),
     )
     best = F.max_by("row", F.struct("n", F.xxhash64("row.text"))).alias("row")
-    return own.join(kept, key, "left_semi").groupBy(*key).agg(best).select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    return own.join(kept, key, "left_semi").groupBy(*key).agg(best).select(*map(of_row, docs.columns))
 
 
 def op5_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

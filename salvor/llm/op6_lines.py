@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salvor.llm.common import WHITE, release, staged, table
+from salvor.llm.common import WHITE, free_name, of_row, release, staged, table, whole_row
 
 MIN_SITES = 8
 LG_K = 12
@@ -19,7 +19,7 @@ def line_rows(docs: DataFrame, site: str) -> DataFrame:
     """One row per line that isn't blank: its document's key (doc_id and text hash), place, two
     64-bit hashes of the line without white space at its ends, and its site's hash."""
     strip = lambda x: F.regexp_replace(x, f"^[{WHITE}]+|[{WHITE}]+$", "")
-    out = docs.select("doc_id", F.xxhash64("text").alias("th"), F.xxhash64(F.col(site)).alias("site"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    out = docs.select("doc_id", F.xxhash64("text").alias("th"), F.xxhash64(F.col(f"`{site}`")).alias("site"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
     out = out.select("doc_id", "th", "site", "pos", strip(F.col("line")).alias("line")).where("line <> ''")
     return out.select("doc_id", "th", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
@@ -54,27 +54,41 @@ def removed_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SI
     return out
 
 
+def cleaned(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """(row, text, n_lines, n_removed): each row of ``docs`` as a struct, and what is left of its text."""
+    gone = removed_lines(docs, site, min_sites).withColumnRenamed("doc_id", "d")
+    own = docs.select(whole_row(docs), F.xxhash64("text").alias("own_hash"))
+    d = own.join(gone, own["row"]["doc_id"].eqNullSafe(gone["d"]) & (own["own_hash"] == gone["th"]), "left")
+    before = F.col("row.text")
+    lines = _lines(before)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    cut = F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n")
+    text = F.when(F.col("gone").isNull(), before).otherwise(cut)
+    n_lines = F.when(before.isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
+    return d.select("row", text.alias("text"), n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+
+
 def without_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with lines of ``min_sites`` sites or more taken out, and ``n_lines``, ``n_removed``.
 
     The first occurrence of such a line, by doc_id and place, stays, so that one copy of a text
     spread over many sites is left whole. Lines are compared without white space at their ends;
     blank lines stay. Null is a site of its own; a null text stays null with no line removed; a
-    null doc_id comes first; rows alike in doc_id and text lose the same lines; further columns
-    pass through, but for earlier n_lines and n_removed. Only hashes and places are exchanged by line; the text moves once, by doc_id.
+    null doc_id comes first; rows alike in doc_id and text lose the same lines; an empty table
+    gives no rows; further columns pass through, whatever their names, and where one has the name
+    of a count, the count has an underscore at its end. Only hashes and places are exchanged by
+    line; the text moves once, by doc_id.
     """
-    gone = removed_lines(docs, site, min_sites).withColumnRenamed("doc_id", "d")
-    own = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("own_hash"))
-    d = own.join(gone, own["row.doc_id"].eqNullSafe(gone["d"]) & (own["own_hash"] == gone["th"]), "left")
-    before = F.col("row.text")
-    lines = _lines(before)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    cut = F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n")
-    text = F.when(F.col("gone").isNull(), before).otherwise(cut)
-    n_lines = F.when(before.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")
-    n_removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed")
-    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return d.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in kept_columns], n_lines, n_removed)
+    counts = [F.col(c).alias(free_name(c, docs.columns)) for c in ("n_lines", "n_removed")]
+    return cleaned(docs, site, min_sites).select(*[F.col("text") if c == "text" else of_row(c) for c in docs.columns], *counts)
+
+
+def documents_without_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """The same with the columns of ``docs`` alone; an ``n_chars`` among them is that of the new text."""
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row")["n_chars"]).cast("long") if "n_chars" in docs.columns else None
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return cleaned(docs, site, min_sites).select(*[new[c].alias(c) if c in new else of_row(c) for c in docs.columns])
 
 
 def op6_line_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salvor.llm.common import ranked, staged, table
+from salvor.llm.common import BROADCAST_ROWS, free_name, of_row, ranked, staged, table, whole_row
 
 BITS = 5
 
@@ -57,9 +57,11 @@ def codes(docs: DataFrame, names: list[str], bits: int) -> DataFrame:
 
 def placed(docs: DataFrame, shards: int, names: tuple[str, ...], bits: int, whole: bool = False) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of each row, and with ``whole`` the row itself."""
+    if 1 << (bits * (len(names) + 1)) > BROADCAST_ROWS:
+        raise ValueError(f"{bits} bits of {len(names) + 1} dimensions make more than {BROADCAST_ROWS} cells")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
+    carried = [whole_row(docs)] if whole else []
     slim = docs.select(F.col("doc_id"), size.alias("size"), crc.alias("text_crc32"), *names, *carried)
     known = codes(docs, list(names), bits)
     on = F.lit(True)
@@ -88,8 +90,9 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, names: tuple[str, ...] = (
     dimensions ``names`` and the size's logarithm: file statistics of a shard then bound every
     dimension at once. Counts of shards differ by one at most (law ``rows``).
 
-    Rows are counted by cell (at most 2^(3 bits) for two names, which bounds every table that
-    is broadcast or windowed whole), cells are placed on the curve, and rows are ranked within
+    Rows are counted by cell (2^(3 bits) for two names; more dimensions or bits than make
+    BROADCAST_ROWS cells are refused, which bounds every table that is broadcast or windowed
+    whole), cells are placed on the curve, and rows are ranked within
     their cell by hash buckets, so neither a common source nor a group of copies meets in one
     task. A null text has no bytes; nulls are values of their own; rows alike in all columns
     stand next to each other in either order; an empty table gives no rows.
@@ -100,13 +103,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, names: tuple[str, ...] = (
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, names: tuple[str, ...] = ("source", "lang"), bits: int = BITS) -> None:
     """Write the rows of ``docs`` as Parquet folders ``shard=N``, each in the order of the curve and
-    cut into as many files as its part of the range exchange has tasks. The folder's shard takes
-    the place of a column of that name; all other columns are written as they are."""
+    cut into as many files as its part of the range exchange has tasks. All columns are written
+    as they are, nulls and repeated rows too; where one is named shard, the folders are named
+    ``shard_=N``. An empty table makes a folder without shards."""
     out = placed(docs, shards, names, bits, whole=True)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = out.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot")
-    own = [F.col(f"row.`{c}`") for c in docs.columns if c != "shard"]
-    out.select("shard", *own).write.partitionBy("shard").parquet(path)
+    by = free_name("shard", docs.columns)
+    out.select(F.col("shard").alias(by), *map(of_row, docs.columns)).write.partitionBy(by).parquet(path)
 
 
 def op7_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

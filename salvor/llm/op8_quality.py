@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow_batches, table
+from salvor.llm.common import arrow_batches, free_name, table
 
 #: Labelled rows that the model learns from, at most; the first by a hash of doc_id.
 SAMPLE = 20_000
@@ -185,11 +185,19 @@ def scorer(model: Additive):
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with held_out, score and predicted. Text alone makes a score: null and empty texts
     score as a text of no words; repeated rows score alike; without usable labels every score is
-    one half; further columns pass through."""
+    one half; an empty table gives no rows; further columns pass through, and where one has the
+    name of an added column, that has an underscore at its end."""
     arrow_batches(docs.sparkSession)
     score = scorer(train(docs, labels))
-    out = docs.withColumns({"held_out": held_out(), "score": score("text")})
-    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    held, value, predicted = (free_name(c, docs.columns) for c in ("held_out", "score", "predicted"))
+    out = docs.withColumns({held: held_out(), value: score("text")})
+    return out.withColumn(predicted, (F.col(value) >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the classifier predicts as 1, with their own columns."""
+    predicted = free_name("predicted", docs.columns)
+    return scored(docs, labels).where(F.col(predicted) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:

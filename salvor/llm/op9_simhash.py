@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow_batches, components, release, staged, table
+from salvor.llm.common import arrow_batches, components, of_row, release, staged, table, whole_row
 
 RADIUS = 4
 SHINGLE = 4
@@ -233,14 +233,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` from each component: the first by doc_id (null after all), then by the
-    hash of its text; of rows alike in both, one."""
+    hash of its text; of rows alike in both, one. Null and empty texts are one component; an
+    empty table gives no rows; columns pass through, whatever their names."""
     found = near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("x")
     id_, text_hash = F.coalesce(F.col("x.doc_id"), F.lit(0)), F.col("x.th")
     keep = staged(found.groupBy("root").agg(first).select(id_.alias("id"), F.col("x.none").alias("none"), text_hash.alias("th")), "kept")
     key = ["id", "none", "th"]  # no nulls: the join and the last step then share one exchange of the texts
-    own = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("th"), F.struct(*docs.columns).alias("row"))
-    return own.join(keep, key, "left_semi").dropDuplicates(key).select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    own = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("th"), whole_row(docs))
+    return own.join(keep, key, "left_semi").dropDuplicates(key).select(*map(of_row, docs.columns))
 
 
 def op9_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
