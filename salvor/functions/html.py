@@ -6,17 +6,17 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
-from urllib.parse import urljoin, urlparse
+from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from salvor.functions.text import cleaned_text, normalized_title
-from salvor.functions.urls import python_identity
+from salvor.functions.text import ORIGINAL_CONTEXT, SOURCE_LINK, cleaned_text, nonblank_lines, normalized_title
+from salvor.functions.urls import absolute, identity_text
 from salvor.schema import CANDIDATE
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -27,7 +27,8 @@ STAGES = ("jsonld", "itemprop", "fundus", "trafilatura_scoped", "trafilatura")
 META = ("traf_title", "traf_author", "traf_date", "traf_description", "traf_sitename", "traf_hostname", "traf_categories", "traf_tags", "traf_language", "traf_image", "traf_pagetype")
 PAGE = (
     "canonical_url string, og_url string, og_title string, page_title string, source_article_url string, structured_url string, "
-    "structured_title string, fundus_publisher string, " + "".join(f"{m} string, " for m in META) + f"candidates array<struct<{', '.join(x.replace(' ', ': ', 1) for x in re.split(r', (?![^<]*>)', CANDIDATE))}>>"
+    "structured_title string, fundus_publisher string, target_url string, target_title string, "
+    "urls array<struct<label: string, value: string, key: string>>, titles array<struct<label: string, value: string, key: string>>, " + "".join(f"{m} string, " for m in META) + f"candidates array<struct<{', '.join(x.replace(' ', ': ', 1) for x in re.split(r', (?![^<]*>)', CANDIDATE))}>>"
 )
 
 
@@ -116,7 +117,7 @@ def document(raw: bytes | str | None) -> Node:
 
 
 def lines_of(text: str) -> str | None:
-    return "\n".join(x.strip() for x in text.splitlines() if x.strip()) or None
+    return nonblank_lines(text) or None
 
 
 def json_ld(root: Node) -> list[dict]:
@@ -162,7 +163,7 @@ def structured(objects: list[dict]) -> tuple[list[dict], str | None, str | None]
 
 def source_link(root: Node, base: str) -> str | None:
     """A labelled link to the original article on another host."""
-    own = python_identity(base)
+    own = identity_text(base)
     if own is None:
         return None
     for a in root.walk():
@@ -171,11 +172,11 @@ def source_link(root: Node, base: str) -> str | None:
             continue
         label = " ".join(a.text(breaks=False).split())
         around = " ".join(a.parent.text(breaks=False).split()) if a.parent else ""
-        if not (re.match(r"\s*läs\s+mer\s+på\b", label, re.I) or re.match(r"\s*das\s+original\s+zu\s+diesem\s+beitrag\b", around, re.I)):
+        if not (re.match(SOURCE_LINK, label, re.I) or re.match(ORIGINAL_CONTEXT, around, re.I)):
             continue
-        target = urljoin(base, href)
-        other = python_identity(target)
-        if other and other[0] != own[0] and urlparse(target).scheme in ("http", "https"):
+        target = absolute(base, href)
+        other = identity_text(target)
+        if other and other.split(" ")[0] != own.split(" ")[0] and target.lower().startswith(("http://", "https://")):
             return target
     return None
 
@@ -192,9 +193,34 @@ def publisher_for(url: str, publishers: dict[str, str]) -> tuple[str, str] | Non
     return next(((publishers[h], h) for k in range(len(labels)) if (h := ".".join(labels[k:])) in publishers), None)
 
 
-def extract(raw: bytes | str | None, base: str | None, title: str | None, publishers: dict | None = None, parsers: dict | None = None) -> dict:
+Parser = Callable[[Node], tuple[str | None, str | None] | None]
+
+
+def element_parser(tag: str, attribute: str, value: str, heading: str = "h1") -> Parser:
+    """A publisher's parser by declaration: the text of the first ``tag`` whose ``attribute`` has
+    ``value`` among its words, outside navigation and the like, and the first ``heading``."""
+
+    def parse(root: Node) -> tuple[str | None, str | None] | None:
+        body = next((n for n in root.walk() if n.tag == tag and value in n.attrs.get(attribute, "").split()), None)
+        head = next((" ".join(n.text().split()) for n in root.walk() if n.tag == heading), None)
+        return (lines_of(body.text(SKIPPED | CHROME)), head) if body else None
+
+    return parse
+
+
+#: Parsers by name, for publishers that no other is given for.
+PARSERS: dict[str, Parser] = {
+    "article-body": element_parser("div", "class", "article-body"),
+    "entry-content": element_parser("div", "class", "entry-content"),
+    "story-body": element_parser("section", "class", "story-body"),
+}
+
+
+def extract(raw: bytes | str | None, base: str | None, title: str | None, publishers: dict | None = None, parsers: dict | None = None, url: str | None = None) -> dict:
     """Signals of a page and its candidates in cascade order. ``publishers``: host to name;
-    ``parsers``: name to a function of the tree that returns (text, title) or None."""
+    ``parsers``: name to a function of the tree that returns (text, title) or None, in addition to
+    PARSERS; ``url``: the story's, where it isn't ``base``. Every URL and title signal has its
+    normalised form as ``key``, to be compared with target_url and target_title."""
     base = base or ""
     root = document(raw)
     nodes = list(root.walk())
@@ -203,28 +229,33 @@ def extract(raw: bytes | str | None, base: str | None, title: str | None, publis
     for n in nodes:
         if n.tag == "meta" and (key := attr(n, "property") or attr(n, "name")):
             meta.setdefault(key.lower(), attr(n, "content"))
-    at = lambda v: urljoin(base, v) if v else None
+    at = lambda v: absolute(base, v) if v else None
+    address = lambda pairs: [{"label": k, "value": v, "key": identity_text(v, base)} for k, v in pairs if v]
+    titled = lambda pairs: [{"label": k, "value": v, "key": normalized_title(v) or None} for k, v in pairs if v]
     canonical = next((attr(n, "href") for n in nodes if n.tag == "link" and "canonical" in attr(n, "rel").lower().split()), None)
     page_title = next((" ".join(n.text().split()) for n in nodes if n.tag == "title"), None)
     lang = next((attr(n, "lang") for n in nodes if n.tag == "html"), None)
     objects = json_ld(root)
-    bodies, url, heading = structured(objects)
+    bodies, address_given, heading = structured(objects)
     out = dict.fromkeys(x.split()[0] for x in re.split(r", (?![^<]*>)", PAGE))
     tags = [n.attrs.get("content", "") for n in nodes if n.tag == "meta" and attr(n, "property") == "article:tag"]
     out |= {
         "canonical_url": at(canonical), "og_url": at(meta.get("og:url")), "og_title": meta.get("og:title") or None, "page_title": page_title,
-        "source_article_url": source_link(root, base), "structured_url": url, "structured_title": heading,
+        "source_article_url": source_link(root, base), "structured_url": address_given, "structured_title": heading,
         "traf_title": meta.get("og:title") or page_title, "traf_author": meta.get("author") or None, "traf_date": meta.get("article:published_time") or meta.get("date") or None,
         "traf_description": meta.get("og:description") or meta.get("description") or None, "traf_sitename": meta.get("og:site_name") or None,
         "traf_hostname": (urlparse(base).hostname or "").removeprefix("www.") or None, "traf_categories": meta.get("article:section") or None,
         "traf_tags": ", ".join(t for t in tags if t) or meta.get("keywords") or None, "traf_language": lang or None, "traf_image": meta.get("og:image") or None, "traf_pagetype": meta.get("og:type") or None,
     }
+    out |= {
+        "target_url": identity_text(url or base, base), "target_title": normalized_title(title) or None,
+        "urls": address([("canonical", out["canonical_url"]), ("og_url", out["og_url"])]), "titles": titled([("og_title", out["og_title"]), ("trafilatura_title", page_title)]),
+    }
     found: list[dict] = []
 
     def add(stage: int, body: str, text: str | None, strict: bool, urls=(), titles=()) -> None:
         if text and text.strip():
-            label = lambda pairs: [{"label": k, "value": v} for k, v in pairs if v]
-            found.append({"stage": stage, "extract_method": STAGES[stage - 1], "body_source": body, "text": text, "urls": label(urls), "titles": label(titles), "strict_body": strict})
+            found.append({"stage": stage, "extract_method": STAGES[stage - 1], "body_source": body, "text": text, "urls": address(urls), "titles": titled(titles), "strict_body": strict})
 
     for b in bodies:
         add(1, "jsonld_body", b["text"], True, [("jsonld_url", u) for u in b["urls"]], [("jsonld_headline", b["headline"])])
@@ -232,7 +263,7 @@ def extract(raw: bytes | str | None, base: str | None, title: str | None, publis
     props = [p for p in props if p]
     for p in props:
         add(2, "itemprop_body", p, len(props) == 1)
-    if (known := publisher_for(base, publishers or {})) and (parser := (parsers or {}).get(known[0])):
+    if (known := publisher_for(base, publishers or {})) and (parser := (PARSERS | (parsers or {})).get(known[0])):
         out["fundus_publisher"] = known[0]
         if got := parser(root):
             add(3, "fundus_body", got[0], True, (), [("fundus_title", got[1])])
@@ -242,15 +273,26 @@ def extract(raw: bytes | str | None, base: str | None, title: str | None, publis
         wanted = normalized_title(title)
         heads = {normalized_title(h.text()): " ".join(h.text().split()) for h in n.walk() if h.tag in ("h1", "h2")}
         add(4, "semantic_body", lines_of(n.text(SKIPPED | CHROME)) or lines_of(n.text()), bool(wanted) and wanted in heads, (), [("scoped_title", heads.get(wanted))])
-    add(5, "whole_page", main_text(root), False, [("structured_url", url)], [("structured_title", heading)])
+    add(5, "whole_page", main_text(root), False, [("structured_url", address_given)], [("structured_title", heading)])
     return out | {"candidates": found}
 
 
-def extract_page(html: Column, base_url: Column, title: Column, publishers: dict | None = None, parsers: dict | None = None) -> Column:
+def extract_page(html: Column, base_url: Column, title: Column, publishers: dict | None = None, parsers: dict | None = None, url: Column | None = None) -> Column:
     """extract() as a column: a struct of page signals and ordered candidates."""
+    names = [x.split()[0] for x in re.split(r", (?![^<]*>)", PAGE)]
 
     @F.pandas_udf(PAGE)
-    def run(pages: pd.Series, bases: pd.Series, titles: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([extract(p, b, t, publishers, parsers) for p, b, t in zip(pages, bases, titles, strict=True)], columns=[x.split()[0] for x in re.split(r", (?![^<]*>)", PAGE)])
+    def run(pages: pd.Series, bases: pd.Series, titles: pd.Series, urls: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([extract(p, b, t, publishers, parsers, u) for p, b, t, u in zip(pages, bases, titles, urls, strict=True)], columns=names)
+
+    return run(html, base_url, title, base_url if url is None else url)
+
+
+@F.udtf(returnType="position int, type string, object string")
+class jsonld_objects:  # noqa: N801 - called as a function
+    """Every object of a page's JSON-LD, outer before inner, as JSON text with its place and type."""
 
-    return run(html, base_url, title)
+    def eval(self, page: str):
+        for k, o in enumerate(json_ld(document(page))):
+            kind = o.get("@type")
+            yield k, ",".join(map(str, kind)) if isinstance(kind, list) else kind, json.dumps(o, ensure_ascii=False)

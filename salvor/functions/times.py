@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A date anywhere in a value, with or without separators and a time.
-PUBLISHED = r"([0-9]{4})[-/]?([0-9]{2})[-/]?([0-9]{2})(?:[T\s]?([0-9]{2}):?([0-9]{2})?:?([0-9]{2})?)?"
+#: Fixed value: a date anywhere in a value, with or without separators and a time.
+PUBLISHED = r"\d{4}[-/]?\d{2}[-/]?\d{2}(?:[T\s]?\d{2}:?(?:\d{2})?:?(?:\d{2})?)?"
 STAMP = "yyyyMMddHHmmss"
 
 

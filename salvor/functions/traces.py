@@ -48,8 +48,9 @@ def provider_failure(status: Column, error: Column, preset: str = "archive") ->
 
 def healthy(status: Column, error: Column, valid_payload: Column) -> Column:
     """An archive answer that resets the breaker: no provider failure and, at 200, a payload that
-    could be read."""
-    return ~(provider_failure(status, error) | ((status == 200) & ~F.coalesce(valid_payload, F.lit(True))))
+    could be read; never null."""
+    unread = F.coalesce((status == 200) & ~F.coalesce(valid_payload, F.lit(True)), F.lit(False))
+    return ~(provider_failure(status, error) | unread)
 
 
 def resume_stage(needs_archive: Column, entries: Column) -> Column:

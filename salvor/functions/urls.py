@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote, urljoin, urlparse
+import re
+from urllib.parse import quote, urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -69,31 +70,29 @@ def is_offsite(url: Column, archive_host: str) -> Column:
     return host(url) != archive_host.lower()
 
 
-def python_identity(value: str | None, base: str | None = None) -> tuple[str, str, str] | None:
-    """identity() for values that may be relative to ``base``; null where it can't be read."""
-    if not value:
-        return None
+def absolute(base: str | None, href: str | None) -> str | None:
+    """``href`` seen from ``base``; null where it can't be read."""
     try:
-        p = urlparse(urljoin(base or "", str(value).strip()))
-        name, port = (p.hostname or "").lower().removeprefix("www."), p.port
+        return None if href is None else urljoin(base or "", href)
     except ValueError:
         return None
-    if port and port != {"http": 80, "https": 443}.get(p.scheme.lower()):
-        name = f"{name}:{port}"
-    path = p.path or "/"
-    return name, path if path == "/" else path.rstrip("/"), p.query
 
 
-def _joined(base: str | None, href: str | None) -> str | None:
-    try:
-        return None if href is None else urljoin(base or "", href)
-    except ValueError:
+def identity_text(url: str | None, base: str | None = None) -> str | None:
+    """``identity`` for Python, of a URL that may be relative to ``base``; null without a host."""
+    m = re.match(PARTS, absolute(base, url.strip()) or "", re.S) if url else None
+    if not m or not m[4]:
         return None
+    scheme, name = (m[2] or "").lower(), m[4].rpartition("@")[2].lower().removeprefix("www.")
+    host_, colon, port = name.rpartition(":")
+    if colon and (port.strip("0") == "" or (scheme, port) in (("http", "80"), ("https", "443"))):
+        name = host_
+    return f"{name} {m[5].rstrip('/') or '/'} {m[7] or ''}"
 
 
 @F.pandas_udf(T.StringType())
 def resolve(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([_joined(b, h) for b, h in zip(base, href, strict=True)])
+    return pd.Series([absolute(b, h) for b, h in zip(base, href, strict=True)])
 
 
 @F.pandas_udf(T.StringType())
@@ -101,11 +100,5 @@ def percent_encode(values: pd.Series) -> pd.Series:
     return values.map(lambda x: quote(x, safe=SAFE), na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def identity_at(base: pd.Series, value: pd.Series) -> pd.Series:
-    found = [python_identity(v, b) for b, v in zip(base, value, strict=True)]
-    return pd.Series([None if x is None else " ".join(x) for x in found])
-
-
 def replay_url(timestamp: Column, original: Column, archive: str = "https://web.archive.org") -> Column:
     return F.concat(F.lit(f"{archive}/web/"), timestamp, F.lit("id_/"), percent_encode(original))

@@ -5,70 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salvor.functions.text import has_text, normalize_title
-from salvor.functions.urls import identity_at
+from salvor.functions.text import has_text
 from salvor.operators.levels import is_unverified, level_rank
 
 
-def identity_sources(signals: list[tuple[str, Column]], target: Column) -> Column:
-    """Labels, in order and distinct, of the signals (label, normalised value) that equal the
-    normalised target; an empty target matches none."""
-    hit = [F.when((v == target) & (v != ""), F.lit(label)) for label, v in signals]
-    return F.array_distinct(F.filter(F.array(*hit), lambda x: x.isNotNull()))
-
-
 def level(sources: Column, strict_body: Column) -> Column:
     found = F.size(sources) > 0
     return F.when(found & strict_body, "strict_verified").when(found, "page_verified").otherwise("unverified_text")
 
 
+def judged_candidates(page: Column) -> Column:
+    """The candidates of an extracted page, in cascade order, each with ``sources`` (the labels of
+    the URLs, then titles, page's before its own, that equal the story's, distinct), its
+    ``verification_level`` and ``verified_by``. Arrays alone: no row is exploded or moved."""
+    none = F.array().cast("array<struct<label: string, value: string, key: string>>")
+
+    def equal(signals: Column, own: Column, target: Column) -> Column:
+        return F.transform(F.filter(F.concat(F.coalesce(signals, none), own), lambda x: x["key"] == target), lambda x: x["label"])
+
+    def one(c: Column, position: Column) -> Column:
+        sources = F.array_distinct(F.concat(equal(page["urls"], c["urls"], page["target_url"]), equal(page["titles"], c["titles"], page["target_title"])))
+        return F.struct(position.alias("position"), c["stage"].alias("stage"), c["extract_method"].alias("extract_method"), c["body_source"].alias("body_source"), c["text"].alias("text"), c["strict_body"].alias("strict_body"), sources.alias("sources"))
+
+    def named(c: Column) -> Column:
+        by = F.when(F.size(c["sources"]) > 0, F.concat_ws("+", c["sources"], c["body_source"]))
+        return F.struct(*[c[x].alias(x) for x in ("position", "stage", "extract_method", "body_source", "text", "strict_body", "sources")], level(c["sources"], c["strict_body"]).alias("verification_level"), by.alias("verified_by"))
+
+    return F.transform(F.transform(page["candidates"], one), named)
+
+
 def judged(pages: DataFrame, page: str = "page") -> DataFrame:
-    """One row per candidate of ``pages(id, url, title, final_url, page)`` with its ``sources``,
-    ``verification_level``, ``verified_by`` and place in the cascade.
-
-    Candidates are exploded once; signals are normalised in two vectorised calls over labelled
-    values, not one call per signal.
-    """
-    p = F.col(page)
-    base = F.array(
-        F.struct(F.lit("canonical").alias("label"), p["canonical_url"].alias("value")), F.struct(F.lit("og_url").alias("label"), p["og_url"].alias("value"))
-    )
-    heads = F.array(
-        F.struct(F.lit("og_title").alias("label"), p["og_title"].alias("value")), F.struct(F.lit("trafilatura_title").alias("label"), p["page_title"].alias("value"))
-    )
-    c = pages.select("id", "url", "title", "final_url", base.alias("__u"), heads.alias("__t"), F.posexplode(p["candidates"]).alias("position", "c"))
-    sig = c.select("id", "position", "url", "title", "final_url", F.col("c"), F.concat("__u", "c.urls").alias("__u"), F.concat("__t", "c.titles").alias("__t"))
-    sig = sig.withColumn("s", F.explode_outer(F.concat(F.transform("__u", lambda x: F.struct(F.lit(0).alias("kind"), x["label"].alias("label"), x["value"].alias("value"))), F.transform("__t", lambda x: F.struct(F.lit(1).alias("kind"), x["label"].alias("label"), x["value"].alias("value"))))))
-    url_hit = identity_at(F.col("final_url"), F.when(F.col("s.kind") == 0, F.col("s.value"))) == identity_at(F.col("final_url"), F.col("url"))
-    want = normalize_title(F.col("title"))
-    title_hit = (want != "") & (normalize_title(F.when(F.col("s.kind") == 1, F.col("s.value"))) == want)
-    hits = sig.withColumn("hit", F.when(F.col("s.kind") == 0, url_hit).otherwise(title_hit))
-    order = F.struct(F.col("s.kind"), F.col("s.label"))
-    named = hits.groupBy("id", "position", "c").agg(F.collect_list(F.when(F.col("hit"), order)).alias("h"))
-    labels = F.array_distinct(F.transform(F.array_sort("h"), lambda x: x["label"]))
-    out = named.select("id", "position", F.col("c.stage").alias("stage"), F.col("c.extract_method").alias("extract_method"), F.col("c.body_source").alias("body_source"), F.col("c.text").alias("text"), F.col("c.strict_body").alias("strict_body"), labels.alias("sources"))
-    out = out.withColumn("verification_level", level(F.col("sources"), F.col("strict_body")))
-    return out.withColumn("verified_by", F.when(F.size("sources") > 0, F.concat_ws("+", "sources", "body_source")))
-
-
-def chosen(candidates: DataFrame, key: str = "id", with_longer: bool = False) -> DataFrame:
-    """The first candidate at page or strict level by ``position``; else the best of the rest by
-    rank and length, earlier ones first in ties. A map-side aggregate, no sort.
-
-    ``with_longer`` adds ``longer``: the first longest of the unverified texts that an accepted
-    candidate came after, null for the others.
-    """
-    rank = level_rank(F.col("verification_level"))
-    cols = F.struct(*[c for c in candidates.columns if c != key])
-    good = F.min_by(cols, F.when(rank >= 2, F.col("position")))
-    rest = F.max_by(cols, F.struct(rank, F.length("text"), -F.col("position")))
-    accepted = F.count_if(rank >= 2) > 0
-    x = F.when(accepted, good).otherwise(rest).alias("x")
-    if not with_longer:
-        return candidates.groupBy(key).agg(x).select(key, "x.*")
-    rejected = F.array_sort(F.collect_list(F.when(rank < 2, F.struct("position", "text")))).alias("r")
-    before = F.filter("r", lambda c: c["position"] < F.col("x.position"))
-    return candidates.groupBy(key).agg(x, accepted.alias("a"), rejected).select(key, "x.*", F.when(F.col("a"), longest(before)["text"]).alias("longer"))
+    """One row per candidate of ``pages(id, page)``."""
+    return pages.select("id", F.inline(judged_candidates(F.col(page))))
+
+
+def chosen(candidates: Column) -> Column:
+    """Of candidates in order, the first at page or strict level; else the best of the rest by rank
+    and length, earlier ones first in ties. With ``longer``: the first longest of the unverified
+    texts that an accepted one came after, null for the others. Null for none."""
+    rank = lambda c: level_rank(c["verification_level"])
+    weight = lambda c: F.struct(rank(c), F.length(c["text"]))
+    first = F.try_element_at(F.filter(candidates, lambda c: rank(c) >= 2), F.lit(1))
+    rest = F.aggregate(candidates, F.try_element_at(candidates, F.lit(1)), lambda held, c: F.when(weight(c) > weight(held), c).otherwise(held))
+    before = F.filter(candidates, lambda c: (rank(c) < 2) & (c["position"] < first["position"]))
+    return F.when(F.size(candidates) > 0, F.struct(F.coalesce(first, rest).alias("best"), longest(before)["text"].alias("longer")))
 
 
 def longest(candidates: Column) -> Column:

@@ -51,23 +51,39 @@ def publisher_join(pages: DataFrame, publishers: DataFrame, url: str = "url") ->
 ROUTE = "actions array<struct<phase: string, variant: string, timestamp: string>>, terminal boolean, deferred boolean"
 
 
+def gathered(rows: DataFrame, outcomes: DataFrame, page: Column | None = None, *more: str) -> DataFrame:
+    """``rows`` with ``stage``, ``forms`` and their recorded ``outcomes`` as one array each; with
+    ``page``, those that have one stand in a second array, so that the route moves no texts."""
+    fails = provider_failure(F.col("status"), F.col("error"))
+    plain = (F.col("status") == 200) & F.col("error").isNull()
+    at = ["phase", "variant", "timestamp"]
+    slim = F.struct(*at, "captures", "status", "error", *more, F.coalesce(plain, F.lit(False)).alias("plain"), fails.alias("fails"), F.coalesce(F.col("accepted"), F.lit(False)).alias("accepted"))
+    arrays = [F.collect_list(slim).alias("outcomes")]
+    if page is not None:
+        arrays.append(F.collect_list(F.when(page.isNotNull(), F.struct(*at, page.alias("page")))).alias("pages"))
+    known = outcomes.groupBy("id").agg(*arrays)
+    stage = resume_stage(F.col("needs_archive"), wayback_entries(F.col("attempt_trace")))
+    s = rows.withColumns({"stage": stage, "forms": archive_variants(F.col("url"))}).join(known, "id", "left")
+    return s.withColumns({c: F.coalesce(c, F.array().cast(known.schema[c].dataType)) for c in known.columns if c != "id"})
+
+
 def route(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Replay the archive route of each row over recorded outcomes.
 
     ``rows``: id, url, target, needs_archive, attempt_trace. ``outcomes``: id, phase (direct,
     availability, cdx, snapshot), variant, timestamp (asked for or, in an availability answer,
-    found), captures (of an index answer), status, error, accepted. The outcomes of a row (a few)
-    are one map; the route is a chain of native folds: direct replay, availability by form until a
-    capture, a provider failure or an answer other than 200, then the index likewise, with two
-    replays in all. Returns id, the actions in order, ``terminal`` and ``deferred``.
+    found), captures (of an index answer), status, error, accepted. Returns id, the actions in
+    order, ``terminal`` and ``deferred``.
     """
-    stage = resume_stage(F.col("needs_archive"), wayback_entries(F.col("attempt_trace")))
-    state = rows.select("id", "target", stage.alias("stage"), archive_variants(F.col("url")).alias("forms"))
-    fails = provider_failure(F.col("status"), F.col("error"))
-    plain = (F.col("status") == 200) & F.col("error").isNull()
-    o = outcomes.select("id", F.struct("phase", "variant", "timestamp", "captures", F.coalesce(plain, F.lit(False)).alias("plain"), fails.alias("fails"), F.coalesce(F.col("accepted"), F.lit(False)).alias("accepted")).alias("o"))
-    known = o.groupBy("id").agg(F.collect_list("o").alias("outcomes"))
-    s = state.join(known, "id", "left").withColumn("outcomes", F.coalesce("outcomes", F.array().cast(known.schema["outcomes"].dataType)))
+    s = routed(gathered(rows.select("id", "url", "target", "needs_archive", "attempt_trace"), outcomes))
+    return s.select("id", "actions", "terminal", "deferred", (~F.col("terminal") & F.col("deferred")).alias("needs_archive"))
+
+
+def routed(s: DataFrame) -> DataFrame:
+    """``gathered`` rows with ``actions``, ``terminal`` and ``deferred``. The outcomes of a row (a few)
+    are one array; the route is a chain of native folds: direct replay, availability by form until a
+    capture, a provider failure or an answer other than 200, then the index likewise, with two
+    replays in all."""
 
     def find(phase: str, variant: Column | None = None, stamp: Column | None = None) -> Column:
         def same(x: Column) -> Column:
@@ -136,5 +152,5 @@ def route(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
 
     s = s.withColumn("e", F.when(F.size("near") > 0, F.aggregate("near", start, step)))
     end = lambda c: F.coalesce(F.col(f"e.{c}"), F.col(c))
-    s = s.select("id", end("actions").alias("actions"), (F.col("terminal") | F.coalesce(F.col("e.terminal"), no)).alias("terminal"), end("deferred").alias("deferred"))
-    return s.withColumn("needs_archive", ~F.col("terminal") & F.col("deferred"))
+    s = s.withColumns({"actions": end("actions"), "terminal": F.col("terminal") | F.coalesce(F.col("e.terminal"), no), "deferred": end("deferred")})
+    return s.drop("d", "a", "r", "c", "e", "stamp", "replays", "seen", "near")

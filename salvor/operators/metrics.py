@@ -100,12 +100,18 @@ def http_counters(attempts: DataFrame) -> DataFrame:
 
 
 def merge_counters(*metrics: DataFrame, by: list[str], sums: list[str]) -> DataFrame:
-    """Totals of earlier snapshots and new counts: a sum, so any split into parts gives the same."""
+    """Totals of earlier snapshots and new counts: a sum, so any split into parts gives the same. An
+    average isn't summed but made again from its sums (``with_averages``)."""
     from salvor.operators.rows import relaxed_union
 
     return relaxed_union(*metrics).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
 
 
+def with_averages(totals: DataFrame, averages: dict[str, tuple[str, str]]) -> DataFrame:
+    """``totals`` with averages of summed columns: name to (sum, count); 0 where the count is."""
+    return totals.withColumns({name: ratio(F.col(a), F.col(n)) for name, (a, n) in averages.items()})
+
+
 def endpoint_telemetry(attempts: DataFrame) -> DataFrame:
     """By endpoint: attempts, successes (2xx without error), time-outs, errors, mean seconds."""
     ok = F.col("status").between(200, 299) & F.col("error").isNull()
@@ -126,17 +132,31 @@ def heartbeat(attempts: DataFrame, every: str = "60 seconds", least: int = 10, r
     return out.select("endpoint", F.col("w.start").alias("window_start"), "attempts", "timeouts", "delta", alarm.alias("alarm"))
 
 
+def nearest_rank(rows: DataFrame, by: str, value: str, percents: dict[str, float]) -> DataFrame:
+    """Nearest-rank percentiles of ``value`` for each group, null without one: counts by distinct value
+    with a map-side part, then running sums over them. No group's values are held in memory."""
+    n = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    share = upto / F.sum("__n").over(Window.partitionBy(by))
+    n = n.withColumn("__share", share)
+    return n.groupBy(by).agg(*[F.min(F.when(F.col("__share") >= p, F.col(value))).cast("double").alias(c) for c, p in percents.items()])
+
+
 def strategy_summary(rows: DataFrame) -> DataFrame:
     """By strategy: rows, captures, terminals, requests, mean and nearest-rank percentiles of
     seconds, requests per terminal (null without one)."""
-    pct = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY seconds)").cast("double")
     out = rows.groupBy("strategy").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("capture").alias("captures"), F.count_if("terminal").alias("terminals"), F.sum("requests").cast("long").alias("requests"),
-        F.avg("seconds").alias("mean_seconds"), pct(0.5).alias("p50"), pct(0.9).alias("p90"), pct(0.95).alias("p95"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("capture").alias("captures"), F.count_if("terminal").alias("terminals"), F.sum("requests").cast("long").alias("requests"), F.avg("seconds").alias("mean_seconds"),
     )
+    out = out.join(nearest_rank(rows, "strategy", "seconds", {"p50": 0.5, "p90": 0.9, "p95": 0.95}), "strategy", "left")
     return out.withColumn("requests_per_terminal", ratio(F.col("requests"), F.col("terminals"), None))
 
 
+def strategy_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a strategy table in the order of its file: by id, then strategy."""
+    return rows.orderBy("id", "strategy")
+
+
 def throughput(metrics: DataFrame) -> DataFrame:
     return metrics.withColumns({"rows_per_second": ratio(F.col("n_rows"), F.col("seconds"), None), "requests_per_second": ratio(F.col("requests"), F.col("seconds"), None)})
 

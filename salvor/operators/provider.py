@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,17 +27,26 @@ ARCHIVE = Breaker()
 EVENTS = "endpoint string, event_id long, ts double, failure boolean, content boolean, state string, consecutive int, pause_until double, openings int"
 
 
-def rate_schedule(requests: DataFrame, gap_s: float, key: str, arrival: str = "arrival", tie: str = "event_id") -> DataFrame:
+def rate_schedule(requests: DataFrame, gap_s: float, key: str, arrival: str = "arrival", tie: str = "event_id", block_s: float = 3600.0) -> DataFrame:
     """When each request may start: start_i = max(arrival_i, start_(i-1) + gap), per key.
 
-    In closed form that is gap * i + max over j <= i of (arrival_j - gap * j), so a running
-    maximum replaces the fold.
+    In closed form that is gap * i + max over j <= i of (arrival_j - gap * j). A key's requests are
+    cut by arrival into blocks of ``block_s`` seconds, so that a busy key is many tasks: each block
+    has its running maximum and count by its own places, and one row per block carries both over
+    the blocks before.
     """
-    w = Window.partitionBy(key).orderBy(arrival, tie)
-    i = F.row_number().over(w)
-    out = requests.withColumn("__i", i)
-    run = F.max(F.col(arrival) - F.col("__i") * gap_s).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return out.withColumn("start", run + F.col("__i") * gap_s).withColumn("wait", F.col("start") - F.col(arrival)).drop("__i")
+    r = requests.withColumn("__block", F.floor(F.col(arrival) / block_s))
+    w = Window.partitionBy(key, "__block").orderBy(arrival, tie)
+    r = r.withColumn("__i", F.row_number().over(w))
+    r = r.withColumn("__run", F.max(F.col(arrival) - F.col("__i") * gap_s).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = r.groupBy(F.col(key).alias("__key"), F.col("__block").alias("__b")).agg(F.max("__i").alias("__n"), F.max("__run").alias("__top"))
+    past = Window.partitionBy("__key").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__n").over(past), F.lit(0)))
+    blocks = blocks.withColumn("__carry", F.max(F.col("__top") - F.col("__before") * gap_s).over(past))
+    out = r.join(blocks, r[key].eqNullSafe(blocks["__key"]) & (r["__block"] == blocks["__b"]))
+    run = F.greatest(F.col("__carry"), F.col("__run") - F.col("__before") * gap_s)
+    out = out.withColumn("start", run + (F.col("__before") + F.col("__i")) * gap_s).withColumn("wait", F.col("start") - F.col(arrival))
+    return out.drop("__block", "__i", "__run", "__key", "__b", "__n", "__top", "__before", "__carry")
 
 
 def start() -> dict:
@@ -69,21 +79,38 @@ def defer(s: dict, now: float, wait: float, most: float = 120.0, default: float
 
 def breaker_fold(outcomes: DataFrame, breaker: Breaker = ARCHIVE) -> DataFrame:
     """The breaker of each endpoint over ``outcomes(endpoint, event_id, ts, failure, content)`` in
-    order. The state is a handful of numbers per endpoint and rows stream through in sorted order,
-    so an endpoint of any length needs no more memory than one batch."""
+    order, which is sequential by definition: one task an endpoint. The state is a handful of
+    numbers and rows stream through in sorted order, so an endpoint of any length needs no more
+    memory than one batch. Runs of answers that leave a closed breaker as it is are passed over at
+    once; only failures and what follows them are stepped through.
+    """
     limits = asdict(breaker)
+    names = [x.split()[0] for x in EVENTS.split(", ")]
 
     def run(batches):
-        b, states = Breaker(**limits), {}
+        b, name, s = Breaker(**limits), None, start()
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                if r.endpoint not in states:
-                    states = {r.endpoint: start()}
-                s = states[r.endpoint]
-                state = observe(s, r.ts, bool(r.failure), bool(r.content), b)
-                out.append((r.endpoint, r.event_id, r.ts, bool(r.failure), bool(r.content), state, s["consecutive"], s["pause_until"], s["openings"]))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in EVENTS.split(", ")])
+            n = len(pdf)
+            endpoint, ts, failure, content = (pdf[c].to_numpy() for c in ("endpoint", "ts", "failure", "content"))
+            state, after = np.full(n, "closed", dtype=object), {c: np.zeros(n) for c in ("consecutive", "pause_until", "openings")}
+            fresh = np.append(True, endpoint[1:] != endpoint[:-1]) if n else np.empty(0, bool)
+            stops = np.flatnonzero(fresh | failure.astype(bool))  # rows that a run of healthy answers ends at
+            k = 0
+            while k < n:
+                if endpoint[k] != name:
+                    name, s = endpoint[k], start()
+                end = k
+                if not (s["probe"] or s["consecutive"] or failure[k]) and ts[k] >= s["pause_until"]:
+                    at = np.searchsorted(stops, k, "right")
+                    end = int(stops[at]) if at < len(stops) else n
+                else:
+                    state[k] = observe(s, ts[k], bool(failure[k]), bool(content[k]), b)
+                    end = k + 1
+                for c, values in after.items():
+                    values[k:end] = s[c]
+                k = end
+            out = pd.DataFrame({"endpoint": endpoint, "event_id": pdf["event_id"], "ts": ts, "failure": failure, "content": content, "state": state, **after})
+            yield out.astype({"consecutive": "int32", "openings": "int32"})[names]
 
     sorted_ = outcomes.select("endpoint", "event_id", "ts", "failure", "content").repartition("endpoint").sortWithinPartitions("endpoint", "ts", "event_id")
     return sorted_.mapInPandas(run, EVENTS)

@@ -16,11 +16,16 @@ _WIDTH = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Dou
 
 def supertype(a: T.DataType, b: T.DataType) -> T.DataType:
     """The type that holds both: null gives way, numbers widen, booleans with numbers become
-    numbers, and anything else meets as text."""
+    numbers, arrays and structs of the same fields meet by their parts, and anything else meets as
+    text."""
     if a == b or isinstance(b, T.NullType):
         return a
     if isinstance(a, T.NullType):
         return b
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(supertype(a.elementType, b.elementType))
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType) and a.names == b.names:
+        return T.StructType([T.StructField(x.name, supertype(x.dataType, y.dataType)) for x, y in zip(a, b, strict=True)])
     ranks = [_WIDTH.index(type(x)) if type(x) in _WIDTH else 0 if isinstance(x, T.BooleanType) else None for x in (a, b)]
     if None in ranks:
         return T.StringType()
@@ -75,18 +80,41 @@ def keep_last(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
 
 
 def keep_last_wide(df: DataFrame, key: str, order: list[str], position: str) -> DataFrame:
-    """keep_last for rows with long texts: the winner is found by an aggregate over keys alone,
-    with a map-side part and no sort of texts, then joined back by key and ``position``."""
-    best = df.groupBy(key).agg(F.max(F.struct(*order, position))[position].alias("__p"))
-    on = df[key].eqNullSafe(best[key]) & (df[position] == best["__p"])
-    return df.join(best, on, "left_semi")
+    """keep_last for rows with long texts: winners are found by an aggregate over keys alone, with a
+    map-side part, then joined back by key, ``order`` and ``position``. The hash table of the join
+    holds keys, so texts move once and are never sorted. ``df`` is read twice, so it must be stored
+    and ``position`` (such as a file's name and row) the same on every read; it makes rows of a key
+    distinct."""
+    at = [*order, position]
+    best = df.groupBy(key).agg(F.max(F.struct(*at)).alias("__best")).select(F.col(key).alias("__key"), *[F.col("__best")[c].alias(f"__best_{k}") for k, c in enumerate(at)])
+    on = df[key].eqNullSafe(best["__key"])
+    for k, c in enumerate(at):
+        on = on & df[c].eqNullSafe(best[f"__best_{k}"])
+    return df.join(best.hint("shuffle_hash"), on, "left_semi")
+
+
+def by_policy(df: DataFrame, policy: str, position: str, key: str = "id", wide: bool = False) -> DataFrame:
+    """keep_last by a named policy, made total by ``position``, with ``wide`` as keep_last_wide;
+    helper columns are dropped."""
+    order = [*DEDUP_POLICIES[policy]]
+    out = keep_last_wide(df, key, order, position) if wide else keep_last(df, key, [*order, position])
+    return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
-def by_policy(df: DataFrame, policy: str, position: str, key: str = "id") -> DataFrame:
-    """keep_last by a named policy, made total by ``position``; helper columns are dropped."""
-    order = [c for c in DEDUP_POLICIES[policy]]
-    out = keep_last(df, key, [*order, position])
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+def lookup(df: DataFrame, dimension: DataFrame, on: tuple[str, str], value: str, name: str) -> DataFrame:
+    """``df`` with the ``value`` that ``dimension`` has for ``on`` (a column of each), as ``name``; null
+    where it has none. The dimension's key is unique; Spark broadcasts it where its size allows."""
+    d = dimension.select(F.col(on[1]).alias("__on"), F.col(value).alias(name))
+    return df.join(d, df[on[0]] == d["__on"], "left").drop("__on")
+
+
+def merged_metadata(df: DataFrame, new: Column, columns: list[str]) -> DataFrame:
+    """Fields of the struct ``new`` over the columns of those names where they aren't null; a list
+    becomes text joined by commas."""
+    kinds = df.select(new.alias("x")).schema["x"].dataType
+    text = lambda c: F.concat_ws(", ", new[c]) if isinstance(kinds[c].dataType, T.ArrayType) else new[c].cast("string")
+    value = lambda c: F.when(new[c].isNotNull(), text(c))
+    return df.withColumns({c: F.coalesce(value(c), F.col(c)) if c in df.columns else value(c) for c in columns if c in kinds.names})
 
 
 def upsert(base: DataFrame, delta: DataFrame, key: str = "id") -> DataFrame:

@@ -16,15 +16,17 @@ from salvor.plans.pipelines import merged
 from salvor.schema import DEFAULTS, FETCH_METHODS, RESULT_TYPES
 
 
-def candidates(stories: DataFrame, attempts: DataFrame) -> DataFrame:
-    """Judged candidates of each fetched page of ``attempts(id, method, status, error, content,
-    final_url)``, in cascade order. Only 2xx answers with content are parsed."""
+def best_texts(stories: DataFrame, attempts: DataFrame, publishers: dict | None = None) -> DataFrame:
+    """The chosen candidate of each fetched page of ``attempts(id, method, status, error, content,
+    final_url)`` by ``key`` (id and method): got, its fields, and the page's. Only 2xx answers with
+    content are parsed; each row stays where it is."""
     good = attempts.where("content is not null and (status is null or status between 200 and 299)")
     p = good.join(stories.select("id", "url", "title"), "id")
-    p = p.withColumn("key", F.concat_ws("|", "id", "method"))
-    page = extract_page(F.col("content"), F.coalesce("final_url", "url"), F.col("title"))
-    p = p.select(F.col("key").alias("id"), "url", "title", F.coalesce("final_url", "url").alias("final_url"), page.alias("page"))
-    return acceptance.judged(p)
+    page = extract_page(F.col("content"), F.coalesce("final_url", "url"), F.col("title"), publishers, url=F.col("url"))
+    p = p.select(F.concat_ws("|", "id", "method").alias("key"), page.alias("page"))
+    p = p.withColumn("x", acceptance.chosen(acceptance.judged_candidates(F.col("page")))).where("x is not null")
+    fields = ["extract_method", "verification_level", "verified_by"]
+    return p.select("key", F.col("x.best.text").alias("got"), "x.longer", *[f"x.best.{c}" for c in fields])
 
 
 SAVED = "__saved"
@@ -59,7 +61,7 @@ def scrape(stories: DataFrame, saved: DataFrame, attempts: DataFrame, run_id: st
     """
     todo = jobs(stories, saved, mode, limit)
     tries = attempts.join(todo.select("id", "__tier"), "id").where("__tier = 0 or method = 'wayback'")
-    best = acceptance.chosen(candidates(todo, tries.drop("__tier")), with_longer=True).withColumnsRenamed({"id": "key", "text": "got"})
+    best = best_texts(todo, tries.drop("__tier"))
     a = tries.withColumn("key", F.concat_ws("|", "id", "method")).join(best, "key", "left")
     terminal = F.coalesce(level_rank(F.col("verification_level")) >= 2, F.lit(False))
     preset = F.when(F.col("method") == "wayback", provider_failure(F.col("status"), F.col("error"), "live")).otherwise(F.lit(False))
@@ -108,6 +110,22 @@ def scrape(stories: DataFrame, saved: DataFrame, attempts: DataFrame, run_id: st
     return rows.drop("alt", "b", "tries", "trace", "any_content", "accepted", "__pending", "__methods", "__tier", SAVED)
 
 
+def fetched(stories: DataFrame, saved: DataFrame, attempts: DataFrame, run_id: str, now: str, mode: str = "complete", limit: int | None = None) -> DataFrame:
+    """Fetch-only mode: a row for each row of the queue that has a page, by the first method with one
+    (rows of the archive tier by wayback alone), with status ``fetch_ok`` and no extraction."""
+    todo = jobs(stories, saved, mode, limit)
+    tries = attempts.join(todo.select("id", "__tier"), "id").where("__tier = 0 or method = 'wayback'")
+    good = tries.where("content is not null and (status is null or status between 200 and 299)")
+    order = F.array_position(F.array(*map(F.lit, FETCH_METHODS)), F.col("method"))
+    first = good.groupBy("id").agg(F.min_by(F.struct("method", "status", "final_url", F.length("content").alias("size")), order).alias("f"))
+    out = todo.join(first, "id")
+    rows = from_template(out, {
+        "scrape_status": F.lit("fetch_ok"), "fetch_method": F.col("f.method"), "attempted_methods": F.col("f.method"), "html_length": F.col("f.size").cast("long"),
+        "http_status": F.col("f.status").cast("long"), "final_url": F.coalesce("f.final_url", "url"), "pipeline_run_id": F.lit(run_id), "completed_at": F.lit(now),
+    })
+    return rows.drop("f", "__tier", SAVED)
+
+
 def longer_of_page(text: Column, own: Column, method: Column) -> dict[str, Column]:
     """Fallback columns from a longer unverified text of the accepted page."""
     more = F.length(text) > F.length(own)
@@ -118,4 +136,4 @@ def scrape_and_merge(stories: DataFrame, saved: DataFrame, attempts: DataFrame,
     """New rows merged with the saved ones under the policy of the merge."""
     new = scrape(stories, saved, attempts, run_id, now, mode)
     tag = lambda df, k: df.withColumns({"__source_rank": F.lit(k), "__position": F.monotonically_increasing_id()})
-    return merged([tag(relaxed_union(saved), 0), tag(new, 1)])
+    return merged([tag(relaxed_union(saved), 0), tag(new, 1)], wide=False)

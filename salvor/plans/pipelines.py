@@ -13,7 +13,7 @@ from salvor.operators.acceptance import preserve_longest
 from salvor.operators.levels import backfill, quality, rewrite_status, unverified_length, with_text_length
 from salvor.operators.metrics import ambiguous_sources, outcome_stats, outcome_stats_by_country, recovered_by_method
 from salvor.operators.queues import completed_ids, unfinished
-from salvor.operators.rows import align, available, by_policy, profile, relaxed_union, shard, upsert, without_legacy
+from salvor.operators.rows import align, available, by_policy, lookup, profile, relaxed_union, shard, upsert, without_legacy
 from salvor.schema import COUNTRIES, RESULT_TYPES
 from salvor.sources import files
 
@@ -39,23 +39,38 @@ def unique_rows(df: DataFrame, what: str, expected: int | None = None) -> dict:
     return p
 
 
-def merged(sources: list[DataFrame]) -> DataFrame:
-    """Canonical and checkpoints into one row per id: text first, then the later source."""
+def validated(profile_: DataFrame, what: str, expected: Column | None = None) -> DataFrame:
+    """A profile that fails as it is read where ids aren't unique or rows aren't as many as expected:
+    the check is part of the plan, which runs once."""
+    same = F.col("n_rows") == (F.col("n_ids") if expected is None else expected)
+    ok = (F.col("n_rows") == F.col("n_ids")) & same
+    return profile_.where(F.assert_true(ok, F.concat(F.lit(f"{what}: "), F.col("n_rows").cast("string"), F.lit(" rows, "), F.col("n_ids").cast("string"), F.lit(" ids"))).isNull())
+
+
+def merged(sources: list[DataFrame], wide: bool = True) -> DataFrame:
+    """Canonical and checkpoints into one row per id: text first, then the later source. ``wide``:
+    sources are stored tables, and winners are found by their keys (see ``keep_last_wide``)."""
     both = relaxed_union(*sources)
     if "text" not in both.columns:
         both = both.withColumn("text", F.lit(None).cast("string"))
     both = both.withColumn("__has_text", has_text(F.col("text")))
-    out = backfill(by_policy(both, "text_then_rank", "__position"))
+    out = backfill(by_policy(both, "text_then_rank", "__position", wide=wide))
     return without_legacy(out.withColumn("scrape_status", rewrite_status(F.col("scrape_status"), F.col("text"))))
 
 
-def frozen(sources: list[DataFrame]) -> DataFrame:
-    """The immutable base: best quality, then longest unverified text, then recency."""
+def saved_rows(sources: list[DataFrame]) -> DataFrame:
+    """One saved row per id to go on from: that of the later source, then the later row."""
+    return by_policy(relaxed_union(*sources), "resume_last", "__position", wide=True)
+
+
+def frozen(sources: list[DataFrame], wide: bool = True) -> DataFrame:
+    """The immutable base: best quality, then longest unverified text, then recency. ``wide`` as in
+    ``merged``."""
     both = backfill_keeping_null_level(relaxed_union(*sources))
     q = quality(F.col("verification_level"), F.col("target_verified"), F.col("text"))
     both = both.withColumn("__quality", q)
     both = both.withColumn("__unverified_length", unverified_length(F.col("__quality"), F.col("text")))
-    return backfill(by_policy(both, "quality_then_recency", "__position"))
+    return backfill(by_policy(both, "quality_then_recency", "__position", wide=wide))
 
 
 def backfill_keeping_null_level(df: DataFrame) -> DataFrame:
@@ -94,12 +109,13 @@ def freeze_base(spark: SparkSession, paths: list[str], base: str) -> dict:
 
 
 def write_input_shards(base: DataFrame, path: str, shards: int) -> list[int]:
-    """The pending queue, one folder per shard; returns the rows of each shard."""
+    """The pending queue, one folder and file per shard; returns the rows of each shard."""
     queue = base.where(F.coalesce(F.col("needs_archive"), F.lit(False))).withColumn("shard", shard(F.col("id"), shards))
     files.write_table(queue, path, by="shard")
-    counts = {r["shard"]: r["n"] for r in base.sparkSession.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()} if not queue.isEmpty() else {}
+    expected = queue.count()
+    counts = {r["shard"]: r["n"] for r in base.sparkSession.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()} if expected else {}
     out = [counts.get(k, 0) for k in range(shards)]
-    check(sum(out) == queue.count(), "shards do not sum to the queue")
+    check(sum(out) == expected, "shards do not sum to the queue")
     return out
 
 
@@ -175,12 +191,13 @@ def reduce_run(spark: SparkSession, run_dir: str, manifest: dict, delta: DataFra
 
 def country_by_id(stories: DataFrame, dimension: DataFrame) -> DataFrame:
     """(id, country) of every story. A source has one country, every story has one, and countries
-    are of the fixed domain."""
+    are of the fixed domain: one pass over the join counts what breaks either rule."""
     check(ambiguous_sources(dimension).isEmpty(), "a source maps to several countries")
     one = dimension.na.drop(subset=["country", "source_name"]).dropDuplicates(["source_name"])
-    out = stories.join(one, stories["media_name"] == one["source_name"], "left").select("id", "country")
-    check(out.where("country is null").isEmpty(), "a story has no country")
-    check(out.where(~F.col("country").isin(*COUNTRIES)).isEmpty(), "a country is outside the domain")
+    out = lookup(stories, one, ("media_name", "source_name"), "country", "country").select("id", "country")
+    bad = out.agg(F.count_if(F.col("country").isNull()).alias("none"), F.count_if(~F.col("country").isin(*COUNTRIES)).alias("other")).first()
+    check(not bad["none"], f"{bad['none']} stories have no country")
+    check(not bad["other"], f"{bad['other']} stories have a country outside the domain")
     return out
 
 
@@ -202,3 +219,9 @@ def complete(stories: DataFrame, results: DataFrame) -> None:
     """Every story must have a result."""
     check(stories.select("id").join(results.select("id"), "id", "left_anti").isEmpty(), "stories without a result")
 
+
+def nothing_lost(before: DataFrame, after: DataFrame) -> None:
+    """A run over a copy of the table may lose neither ids nor texts."""
+    check(before.select("id").join(after.select("id"), "id", "left_anti").isEmpty(), "ids were lost")
+    texts = before.where(has_text(F.col("text"))).select("id")
+    check(texts.join(after.where(has_text(F.col("text"))).select("id"), "id", "left_anti").isEmpty(), "texts were lost")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from salvor.functions import html, text, times, traces, urls
 from salvor.operators import acceptance, archive, levels, metrics, provider, queues, rows
+from salvor.plans import archive_run as archives
 from salvor.plans import pipelines
 from salvor.queries.views import ATTEMPT, CANONICAL, CHECKPOINT, RESULT, STORY, TRACE, table, view
 from salvor.schema import FAILED_STATUSES
@@ -49,8 +51,8 @@ def sources(spark, sf) -> list[DataFrame]:
     return out
 
 
-def slim(df: DataFrame) -> DataFrame:
-    return df.select("id", "origin", "verification_level", text.code_points(F.col("text")).alias("n_text"))
+def slim(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("id", "origin", "verification_level", text.code_points(F.col("text")).alias("n_text"), *more)
 
 
 # Profiles, expressions, legacy back-fill
@@ -109,7 +111,7 @@ def keep_last_text_then_rank(spark, sf):
 
 @query(WITH_S + f", q AS (SELECT *, {QUALITY} AS quality FROM s) SELECT id, origin, coalesce(verification_level, CASE WHEN coalesce(target_verified, false) THEN 'strict_verified' WHEN {HT} THEN 'unverified_text' ELSE 'no_text' END) AS verification_level, CAST(length(coalesce(text, '')) AS BIGINT) AS n_text FROM q QUALIFY row_number() OVER (PARTITION BY id ORDER BY quality DESC, CASE WHEN quality = 1 THEN length(coalesce(text, '')) ELSE 0 END DESC, src_mtime DESC, is_canonical DESC, src_rank DESC, doc_id DESC) = 1")
 def keep_last_quality_recency(spark, sf):
-    return slim(pipelines.frozen(sources(spark, sf)))
+    return slim(pipelines.frozen(sources(spark, sf), wide=False))  # views, not stored tables
 
 
 @query(WITH_S + "SELECT id, origin, verification_level, CAST(length(coalesce(text, '')) AS BIGINT) AS n_text FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY src_rank DESC) = 1")
@@ -125,11 +127,11 @@ def best_deferred(spark, sf):
     return slim(rows.best_deferred(parts, levels.quality(F.col("verification_level"), F.col("target_verified"), F.col("text"))))
 
 
-@query(WITH_S + "SELECT id, max(src_rank) AS src_rank, max_by(origin, src_rank) AS origin FROM s GROUP BY id")
+@query(WITH_S + f"SELECT id, origin, verification_level, CAST(length(coalesce(text, '')) AS BIGINT) AS n_text, md5(coalesce(text, '')) AS digest FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY {HT} DESC, src_rank DESC, doc_id DESC) = 1")
 def keep_last_wide(spark, sf):
-    both = rows.relaxed_union(*sources(spark, sf)).withColumn("__p", F.col("__source_rank").cast("long"))
-    out = rows.keep_last_wide(both.withColumn("place", F.col("__p")), "id", ["__source_rank"], "place")
-    return out.select("id", F.col("__source_rank").alias("src_rank"), "origin")
+    both = rows.relaxed_union(*sources(spark, sf)).withColumn("__has_text", text.has_text(F.col("text")))
+    out = rows.by_policy(both, "text_then_rank", "__position", wide=True)
+    return slim(out.select("*", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")), "digest")
 
 
 # Queues, limits, shards, samples
@@ -195,8 +197,8 @@ def date_filter(spark, sf):
 
 @query("SELECT c.c_custkey, n.n_name AS country FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
 def country_lookup(spark, sf):
-    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select("c_custkey", F.col("n_name").alias("country"))
+    out = rows.lookup(table(spark, sf, "customer"), table(spark, sf, "nation"), ("c_nationkey", "n_nationkey"), "n_name", "country")
+    return out.select("c_custkey", "country")
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN source IN ('src1', 'src3', 'src5', 'src7', 'src9') THEN 'Sweden' ELSE 'Germany' END AS country FROM documents WHERE source IS NOT NULL")
@@ -297,12 +299,16 @@ def publication_timestamp(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", times.publication_timestamp(v).alias("published"))
 
 
-@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(event_id % 300 AS DOUBLE) WHEN 1 THEN 60.0 WHEN 2 THEN 0.0 ELSE 0.0 END AS raw, least(120.0, CASE event_id % 4 WHEN 0 THEN CAST(event_id % 300 AS DOUBLE) WHEN 1 THEN 60.0 ELSE 0.0 END) AS wait FROM events")
+RETRY = "CASE event_id % 4 WHEN 0 THEN floor(abs(value)) WHEN 1 THEN epoch(date_trunc('second', ts)) - epoch(TIMESTAMP '2024-01-10 12:00:00') WHEN 2 THEN 0 ELSE -floor(abs(value)) END"
+
+
+@query(f"SELECT event_id, CAST(least(1000000000, greatest(0, coalesce({RETRY}, 0))) AS DOUBLE) AS raw, CAST(least(120, greatest(0, coalesce({RETRY}, 0))) AS DOUBLE) AS wait FROM events")
 def retry_after(spark, sf):
-    now = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
-    k = F.col("event_id") % 4
-    value = F.when(k == 0, (F.col("event_id") % 300).cast("string")).when(k == 1, "Mon, 01 Jan 2024 00:01:00 GMT").when(k == 2, "soon").otherwise("-5")
-    e = table(spark, sf, "events")
+    """Headers made of the events: a number, an HTTP date, words, a negative number."""
+    now, e = F.to_timestamp(F.lit("2024-01-10 12:00:00")), table(spark, sf, "events")
+    k, number = F.col("event_id") % 4, F.floor(F.abs("value")).cast("string")
+    date = F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    value = F.when(k == 0, number).when(k == 1, date).when(k == 2, F.col("event_type")).otherwise(F.concat(F.lit("-"), number))
     return e.select("event_id", times.retry_after(value, now, 1e9).alias("raw"), times.retry_after(value, now, 120).alias("wait"))
 
 
@@ -319,7 +325,7 @@ def method_append(spark, sf):
     return r.select("id", "before", text.append_method(F.col("before"), "wayback").alias("after"))
 
 
-TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+RAW_TITLE = TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
 for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&nbsp;", " "), ("&amp;", "&"), ("&amp", "&")):
     TITLE = f"replace({TITLE}, '{entity}', '{char}')"
 TITLE = f"trim(regexp_replace({TITLE}, '\\s+', ' ', 'g'))"
@@ -330,6 +336,78 @@ def page_title_norm(spark, sf):
     return view(spark, sf, STORY).select("id", text.normalize_title(F.col("title")).alias("title"))
 
 
+# Extraction and acceptance
+
+#: The body candidates of a page in SQL: comments and skipped elements go, block tags end lines,
+#: other tags go, entities stand for their characters, and lines are trimmed. WHOLE is the text
+#: outside navigation, SCOPED that of the one article.
+BLOCK = "address|article|aside|blockquote|br|div|dl|dt|dd|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|tr|ul"
+
+
+def _drop(text: str, *tags: str) -> str:
+    for tag in tags:
+        text = f"regexp_replace({text}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+    return text
+
+
+def _lines(text: str) -> str:
+    text = f"regexp_replace(regexp_replace({text}, '(?i)</?({BLOCK})\\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{char}')"
+    return f"array_to_string(list_filter(list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> ''), chr(10))"
+
+
+BARE = _drop("regexp_replace(html, '(?s)<!--.*?-->', '', 'g')", "script", "style", "noscript", "template", "svg")
+SCOPED = _lines(_drop(f"regexp_extract({BARE}, '(?is)<article\\b[^>]*>(.*)</article\\s*>', 1)", "nav", "header", "footer", "aside", "form", "button"))
+WHOLE = _lines(_drop(BARE, "nav", "header", "footer", "aside", "form", "button", "head", "title"))
+HEADS = f"list_transform(regexp_extract_all(html, '(?is)<h[12]\\b[^>]*>(.*?)</h[12]>', 1), lambda x: {TITLE.replace(RAW_TITLE, 'x')})"
+#: Pages, a title asked for (another story's for every third), and both candidates with their signals.
+CANDIDATES = f"""
+WITH p AS (SELECT page_id, html, {TITLE} AS own, CASE WHEN page_id % 3 <> 0 THEN {TITLE} ELSE 'some other story' END AS wanted, {HEADS} AS heads FROM pages),
+c AS (
+  SELECT page_id, 'trafilatura_scoped' AS extract_method, 'semantic_body' AS body, {SCOPED} AS text, own = wanted AND wanted <> '' AS titled, wanted <> '' AND list_contains(heads, wanted) AS headed FROM p
+  UNION ALL SELECT page_id, 'trafilatura', 'whole_page', {WHOLE}, own = wanted AND wanted <> '', false FROM p
+),
+j AS (
+  SELECT CAST(page_id AS VARCHAR) AS id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY body) - 1 AS INTEGER) AS position, extract_method,
+    CASE WHEN headed THEN 'strict_verified' WHEN titled THEN 'page_verified' ELSE 'unverified_text' END AS verification_level,
+    CASE WHEN titled OR headed THEN CASE WHEN titled THEN 'trafilatura_title+' ELSE '' END || CASE WHEN headed THEN 'scoped_title+' ELSE '' END || body END AS verified_by,
+    CAST(length(text) AS BIGINT) AS n_text, md5(text) AS digest
+  FROM c WHERE text <> ''
+)
+"""
+
+
+def judged_pages(spark, sf):
+    p = table(spark, sf, "pages").withColumn("title", F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1))
+    title = F.when(F.col("page_id") % 3 != 0, F.col("title")).otherwise("some other story")
+    p = p.select(F.col("page_id").cast("string").alias("id"), "url", "html", title.alias("title"))
+    return p.select("id", html.extract_page(F.col("html"), F.col("url"), F.col("title")).alias("page"))
+
+
+CANDIDATE_COLUMNS = ["id", "position", "extract_method", "verification_level", "verified_by", F.length("text").cast("long").alias("n_text"), F.md5(F.col("text").cast("binary")).alias("digest")]
+
+
+@query(CANDIDATES + "SELECT * FROM j")
+def page_candidates(spark, sf):
+    return acceptance.judged(judged_pages(spark, sf)).select(*CANDIDATE_COLUMNS)
+
+
+@query(f"SELECT CAST(page_id AS VARCHAR) AS id, {TITLE} AS page_title, lower(regexp_extract(html, '(?i)<html[^>]* lang=\"([^\"]*)', 1)) AS language, regexp_replace(regexp_replace(lower({P(4)}), ':[0-9]*$', ''), '^www[.]', '') AS hostname, CAST(NULL AS VARCHAR) AS canonical_url, {P(4)} AS target_host, len(regexp_extract_all(html, '(?i)<article[\\s>]')) = 1 AS scoped FROM pages")
+def page_extract(spark, sf):
+    x = html.extract_page(F.col("html"), F.col("url"), F.lit(None).cast("string"))
+    p = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("id"), "url", x.alias("x"))
+    scoped = F.exists("x.candidates", lambda c: c["extract_method"] == "trafilatura_scoped")
+    return p.select("id", "x.page_title", F.lower("x.traf_language").alias("language"), F.col("x.traf_hostname").alias("hostname"), "x.canonical_url", urls.part(F.col("url"), 4).alias("target_host"), scoped.alias("scoped"))
+
+
+@query(CANDIDATES + "SELECT id, extract_method, verification_level, verified_by, n_text, digest FROM j QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN verification_level <> 'unverified_text' THEN position END NULLS LAST, n_text DESC, position) = 1")
+def identity_level(spark, sf):
+    """A page's own title identifies it; another story's does not."""
+    best = judged_pages(spark, sf).select("id", acceptance.chosen(acceptance.judged_candidates(F.col("page"))).alias("x"))
+    return best.select("id", "x.best.*").select(*CANDIDATE_COLUMNS).drop("position")
+
+
 # Captures, traces, routing
 
 CAPTURE_SQL = "SELECT CAST(user_id AS STRING) AS id, event_id AS position, concat('d', CAST(event_id % 5 AS STRING)) AS digest, {stamp} AS timestamp, '20240115000000' AS target FROM events"
@@ -419,6 +497,70 @@ def archive_route(spark, sf):
     return out.select("id", "terminal", "needs_archive", F.array_join(F.transform("actions", lambda a: a["phase"]), " ").alias("phases"))
 
 
+def archive_job(spark, sf) -> DataFrame:
+    """The archive run of every page over the deterministic archive, by the page's number mod 8: the
+    first four as in ``route_outcomes`` (direct, direct, index, nothing); 4: the index lookup fails;
+    5: a page of another story by direct replay, nothing else found; 6: its direct replay fails and
+    its saved text is longer; 7: its trace shows all stages done."""
+    p = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("id"), "page_id", "url", F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1).alias("own"), "html")
+    k = F.col("page_id") % 8
+    title = F.when(k.isin(5, 6), "some other story").otherwise(F.col("own"))
+    text, level = F.when(k == 6, F.repeat(F.lit("saved "), 20_000)), F.when(k == 6, "unverified_text").otherwise("no_text")
+    trace = F.when(k == 7, F.lit('[{"method":"wayback","phase":"direct","status":404},{"method":"wayback","phase":"availability","status":200},{"method":"wayback","phase":"cdx","status":200}]'))
+    rows_ = p.select("id", "page_id", "url", title.alias("title"), F.lit("2020-01-02").alias("publish_date"), F.lit(True).alias("needs_archive"), trace.alias("attempt_trace"), text.alias("text"), level.alias("verification_level"), F.when(k == 6, "playwright").alias("fetch_method"), F.lit("requests").alias("attempted_methods"), F.lit("fetch_error").alias("scrape_status"))
+    v = archive.variants(p.select("id", "page_id", "url"))
+    none = F.lit(None).cast("array<struct<timestamp: string, original_url: string, digest: string>>")
+    null = F.lit(None).cast("string")
+    first = F.element_at(urls.archive_variants(F.col("url")), 1)
+
+    def answer(df, phase, variant, stamp, captures, status, error=null, content=null):
+        address = F.concat(F.lit("http://archive/web/"), stamp, F.lit("id_/"), F.col("url")) if phase in ("direct", "snapshot") else null
+        return df.select("id", F.lit(phase).alias("phase"), variant.alias("variant"), stamp.alias("timestamp"), captures.alias("captures"), status.cast("int").alias("status"), error.alias("error"), content.alias("content"), address.alias("final_url"))
+
+    shown = k.isin(0, 1, 5)
+    direct = answer(p, "direct", first, F.lit("20200102000000"), none, F.when(shown, 200).when(k != 6, 404), F.when(k == 6, "ReadTimeout"), F.when(shown, F.col("html")))
+    near = answer(v, "availability", F.col("variant"), null, none, F.when(k == 4, 503).otherwise(200))
+    capture = F.array(F.struct(F.lit("20190101000000").alias("timestamp"), F.col("variant").alias("original_url"), F.lit("g").alias("digest")))
+    index = answer(v, "cdx", F.col("variant"), null, F.when(k == 2, capture).otherwise(F.slice(capture, 1, 0)), F.when(k == 4, 503).otherwise(200))
+    replay = answer(p, "snapshot", first, F.lit("20190101000000"), none, F.lit(200), null, F.col("html"))
+    return archives.results(rows_, relaxed(direct, near, index, replay), "run", "now")
+
+
+def relaxed(*frames: DataFrame) -> DataFrame:
+    return rows.relaxed_union(*frames)
+
+
+#: What the run must come to, by k. The text is the candidate that is accepted or longest.
+ARCHIVE_JOB = CANDIDATES.replace("CASE WHEN page_id % 3 <> 0 THEN", "CASE WHEN page_id % 8 NOT IN (5, 6) THEN") + f"""
+, b AS (SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN verification_level <> 'unverified_text' THEN position END NULLS LAST, n_text DESC, position) = 1),
+k AS (SELECT page_id, page_id % 8 AS k, {N_FORMS} AS n, CAST(page_id AS VARCHAR) AS id FROM pages),
+e AS (
+  SELECT k.id, k, n, k IN (0, 1, 2) AND b.verification_level <> 'unverified_text' AS won, k IN (0, 1, 2, 5) AS seen, b.verification_level AS lv, b.verified_by AS by_, b.n_text AS nt, b.digest AS dg FROM k JOIN b ON b.id = k.id
+),
+done AS (
+  SELECT id, CASE WHEN k = 7 THEN 'passed' WHEN won THEN 'recovered' WHEN k IN (4, 6) THEN 'deferred' WHEN seen THEN 'unverified' ELSE 'no_text' END AS outcome,
+    NOT won AND k IN (4, 6) AS needs_archive,
+    CASE WHEN k = 6 THEN 'unverified_text' WHEN seen THEN lv ELSE 'no_text' END AS verification_level, CASE WHEN seen THEN by_ END AS verified_by,
+    CASE WHEN k = 6 THEN 120000 WHEN seen THEN nt END AS n_text, CASE WHEN k = 6 THEN md5(repeat('saved ', 20000)) WHEN seen THEN dg END AS digest,
+    CASE WHEN k = 6 THEN 'playwright' WHEN seen THEN 'wayback' END AS fetch_method, 'requests,wayback' AS attempted_methods,
+    CAST(CASE WHEN k = 7 THEN 3 WHEN k IN (0, 1) AND won THEN 1 WHEN k = 4 THEN 3 WHEN k = 2 THEN 3 + n WHEN k IN (0, 1) THEN 1 + 2 * n ELSE 1 + 2 * n END AS INTEGER) AS n_trace
+  FROM e
+)
+"""
+
+
+@query(ARCHIVE_JOB + "SELECT * FROM done")
+def archive_run(spark, sf):
+    trace = F.size(traces.elements(F.col("attempt_trace"))).alias("n_trace")
+    digest = F.md5(F.col("text").cast("binary")).alias("digest")
+    return archive_job(spark, sf).select("id", "outcome", "needs_archive", "verification_level", "verified_by", F.length("text").cast("long").alias("n_text"), digest, "fetch_method", "attempted_methods", trace)
+
+
+@query(ARCHIVE_JOB + "SELECT count(*) AS rows_completed, CAST(count_if(outcome = 'recovered') AS BIGINT) AS rows_recovered, CAST(count_if(outcome = 'deferred') AS BIGINT) AS rows_deferred, CAST(count_if(outcome = 'unverified') AS BIGINT) AS rows_unverified, CAST(count_if(outcome = 'no_text') AS BIGINT) AS rows_no_text, CAST(count_if(outcome = 'recovered') AS BIGINT) AS terminal_acceptances FROM done")
+def archive_counters(spark, sf):
+    return archives.counters(archive_job(spark, sf))
+
+
 @query("WITH k AS (SELECT page_id, page_id % 6 AS k FROM pages) SELECT CAST(page_id AS VARCHAR) AS id, CASE k WHEN 0 THEN 'requests' WHEN 1 THEN 'requests,playwright' WHEN 2 THEN 'requests,playwright,wayback' WHEN 3 THEN 'requests,wayback' WHEN 4 THEN 'requests,playwright,wayback' ELSE 'requests,wayback' END AS attempted_methods, k IN (0, 1, 2) AS accepted, k = 4 AS needs_archive FROM k")
 def live_route(spark, sf):
     """0: accepted at once; 1: in the browser; 2: by the archive; 3: gone, not archived; 4: failed
@@ -460,12 +602,13 @@ def http_counters(spark, sf):
     return metrics.http_counters(view(spark, sf, ATTEMPT).withColumnRenamed("endpoint", "kind"))
 
 
-@query(f"WITH a AS ({ATTEMPT}) SELECT endpoint, count(*) AS attempts, CAST(count_if(success) AS BIGINT) AS successes, CAST(sum(retry_count) AS BIGINT) AS retries FROM a GROUP BY endpoint")
+@query(f"WITH a AS ({ATTEMPT}) SELECT endpoint, count(*) AS attempts, CAST(count_if(success) AS BIGINT) AS successes, CAST(sum(retry_count) AS BIGINT) AS retries, sum(seconds) AS seconds, round(sum(seconds) / count(*), 6) AS avg_seconds FROM a GROUP BY endpoint")
 def metrics_rollup(spark, sf):
-    """Totals from a saved snapshot of one half and counts of the other."""
+    """Totals from a saved snapshot of one half and counts of the other; averages are made again."""
     a = view(spark, sf, ATTEMPT)
     parts = [metrics.method_metrics(a.where(F.col("event_id") % 2 == k), ["endpoint"]) for k in (0, 1)]
-    return metrics.merge_counters(*parts, by=["endpoint"], sums=["attempts", "successes", "retries"])
+    out = metrics.merge_counters(*parts, by=["endpoint"], sums=["attempts", "successes", "retries", "seconds"])
+    return metrics.with_averages(out, {"avg_seconds": ("seconds", "attempts")}).withColumn("avg_seconds", F.round("avg_seconds", 6))
 
 
 @query(f"WITH a AS ({ATTEMPT}), b AS (SELECT endpoint, to_timestamp(floor(epoch(ts) / 14400) * 14400) AT TIME ZONE 'UTC' AS window_start, count(*) AS attempts, CAST(count_if(coalesce(contains(lower(error), 'timeout'), false)) AS BIGINT) AS timeouts FROM a GROUP BY 1, 2) SELECT endpoint, CAST(window_start AS TIMESTAMP) AS window_start, attempts, timeouts, attempts - coalesce(lag(attempts) OVER (PARTITION BY endpoint ORDER BY window_start), 0) AS delta, attempts >= 5 AND timeouts >= 0.1 * attempts AS alarm FROM b")
@@ -486,10 +629,35 @@ def rate_schedule(spark, sf):
     return provider.rate_schedule(a, times.request_gap(2.0), "endpoint").select("event_id", "endpoint", F.round("start", 3).alias("start"))
 
 
-@query()
+#: One step of the breaker for each row of an endpoint, in order: the state in which an outcome is
+#: met, then failures in a row, the end of the pause, whether a probe is due, and openings. Two
+#: failures pause for 3600 s, a failed probe for 7200 s.
+BREAKER = f"""
+WITH RECURSIVE a AS ({ATTEMPT}),
+e AS (
+  SELECT endpoint, event_id, epoch(ts) AS ts, success AS content,
+    (coalesce(error, '') NOT IN ('', 'offsite_redirect', 'too_many_redirects')) OR coalesce(status IN (429, 500, 502, 503, 504), false) AS failure,
+    row_number() OVER (PARTITION BY endpoint ORDER BY ts, event_id) AS i FROM a
+),
+f AS (
+  SELECT DISTINCT endpoint, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS event_id, CAST(0 AS DOUBLE) AS ts, false AS failure, false AS content, '' AS state, 0 AS consecutive, CAST(0 AS DOUBLE) AS pause_until, false AS probe, 0 AS openings FROM e
+  UNION ALL
+  SELECT endpoint, i, event_id, ts, failure, content, state,
+    CASE WHEN NOT failure THEN 0 WHEN state = 'probe' OR consecutive + 1 >= 2 THEN 0 ELSE consecutive + 1 END,
+    CASE WHEN failure AND state = 'probe' THEN ts + 7200 WHEN failure AND consecutive + 1 >= 2 THEN greatest(pause_until, ts + 3600) ELSE pause_until END,
+    CASE WHEN failure THEN probe OR consecutive + 1 >= 2 ELSE probe AND state <> 'probe' END,
+    openings + CASE WHEN failure AND (state = 'probe' OR consecutive + 1 >= 2) THEN 1 ELSE 0 END
+  FROM (SELECT e.*, f.consecutive, f.pause_until, f.probe, f.openings, CASE WHEN e.ts < f.pause_until THEN 'open' WHEN f.probe THEN 'probe' ELSE 'closed' END AS state FROM f JOIN e ON e.endpoint = f.endpoint AND e.i = f.i + 1)
+)
+SELECT endpoint, event_id, ts, failure, content, state, CAST(consecutive AS INTEGER) AS consecutive, pause_until, CAST(openings AS INTEGER) AS openings FROM f WHERE i > 0
+"""
+
+
+@query(BREAKER)
 def breaker_fold(spark, sf):
     a = view(spark, sf, ATTEMPT)
-    e = a.select("endpoint", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("ts"), traces.provider_failure(F.col("status"), F.col("error")).alias("failure"), F.col("success").alias("content"))
+    failure = ~traces.healthy(F.col("status"), F.col("error"), F.lit(True))
+    e = a.select("endpoint", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("ts"), failure.alias("failure"), F.col("success").alias("content"))
     return provider.breaker_fold(e, provider.Breaker(failures=2, pause_s=3600, probe_pause_s=7200))
 
 
@@ -504,38 +672,14 @@ def throughput(spark, sf):
     return metrics.throughput(a).withColumns({c: F.round(c, 6) for c in ("rows_per_second", "requests_per_second")})
 
 
-@query("SELECT CAST((SELECT count(*) FROM labels) AS BIGINT) AS saved_rows, round(100.0 * (SELECT count(*) FROM labels) / 1000, 6) AS percent")
+@query("SELECT CAST((SELECT count(DISTINCT doc_id) FROM labels) AS BIGINT) AS saved_rows, round(100.0 * (SELECT count(DISTINCT doc_id) FROM labels) / (SELECT count(*) FROM documents), 6) AS percent")
 def run_progress(spark, sf):
     ids = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
-    return metrics.progress(ids.where("id % 2 = 0"), ids.where("id % 3 <> 0 or id % 2 = 1"), 1000).withColumn("percent", F.round("percent", 6))
+    total = table(spark, sf, "documents").count()
+    return metrics.progress(ids.where("id % 2 = 0"), ids.where("id % 3 <> 0 or id % 2 = 1"), total).withColumn("percent", F.round("percent", 6))
 
 
-# Extraction and acceptance
-
-
-@query(f"SELECT CAST(page_id AS VARCHAR) AS id, {TITLE} AS page_title, len(regexp_extract_all(html, '(?i)<article[\\s>]')) = 1 AS scoped FROM pages")
-def page_extract(spark, sf):
-    p = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("id"), html.extract_page(F.col("html"), F.col("url"), F.lit(None).cast("string")).alias("x"))
-    return p.select("id", F.col("x.page_title").alias("page_title"), F.exists("x.candidates", lambda c: c["extract_method"] == "trafilatura_scoped").alias("scoped"))
-
-
-def judged_pages(spark, sf):
-    p = table(spark, sf, "pages").withColumn("title", F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1))
-    title = F.when(F.col("page_id") % 3 != 0, F.col("title")).otherwise("some other story")
-    p = p.select(F.col("page_id").cast("string").alias("id"), "url", F.col("url").alias("final_url"), "html", title.alias("title"))
-    return acceptance.judged(p.withColumn("page", html.extract_page(F.col("html"), F.col("final_url"), F.col("title"))).drop("html"))
-
-
-@query()
-def page_candidates(spark, sf):
-    return judged_pages(spark, sf).select("id", "position", "extract_method", "verification_level", "verified_by", F.length("text").alias("n_text"))
-
-
-@query("SELECT CAST(page_id AS VARCHAR) AS id, CASE WHEN page_id % 3 = 0 OR trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) = '' THEN 'unverified_text' ELSE 'verified' END AS level FROM pages")
-def identity_level(spark, sf):
-    """A page's own title identifies it; another story's does not."""
-    best = acceptance.chosen(judged_pages(spark, sf))
-    return best.select("id", F.when(F.col("verification_level").isin("page_verified", "strict_verified"), "verified").otherwise(F.col("verification_level")).alias("level"))
+# Publishers, fallbacks, candidates
 
 
 @query(f"WITH p AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(lower({P(4)}), '^.*@', ''), ':[0-9]*$', ''), '^www[.]', '') AS host FROM pages), d AS (SELECT DISTINCT host, 'p:' || host AS publisher FROM p WHERE length(host) % 2 = 0 UNION SELECT DISTINCT regexp_extract(host, '[^.]+[.][^.]+$', 0) AS host, 'd:' || regexp_extract(host, '[^.]+[.][^.]+$', 0) FROM p WHERE length(regexp_extract(host, '[^.]+[.][^.]+$', 0)) % 2 = 1) SELECT CAST(p.page_id AS VARCHAR) AS id, d.publisher FROM p LEFT JOIN d ON p.host = d.host OR ends_with(p.host, '.' || d.host) QUALIFY row_number() OVER (PARTITION BY p.page_id ORDER BY length(d.host) DESC NULLS LAST) = 1")
@@ -588,22 +732,18 @@ def resume_rows(spark, sf):
 
 @query(WITH_S + f", q AS (SELECT *, {QUALITY} AS quality FROM s), f AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY id ORDER BY quality DESC, CASE WHEN quality = 1 THEN length(coalesce(text, '')) ELSE 0 END DESC, src_mtime DESC, is_canonical DESC, src_rank DESC) = 1) SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, CAST(count_if({HT}) AS BIGINT) AS n_text, CAST(count_if(coalesce(needs_archive, false)) AS BIGINT) AS n_pending, CAST(count_if(fetch_method = 'wayback') AS BIGINT) AS n_wayback FROM f")
 def freeze_validate(spark, sf):
-    base = pipelines.frozen(sources(spark, sf))
-    pipelines.unique_rows(base, "freeze")
-    return rows.profile(base)
+    return pipelines.validated(rows.profile(pipelines.frozen(sources(spark, sf), wide=False)), "freeze")
 
 
 @query(WITH_S + f", f AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY src_rank DESC) = 1) SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, CAST(count_if({HT}) AS BIGINT) AS n_text, CAST(count_if(coalesce(needs_archive, false)) AS BIGINT) AS n_pending, CAST(count_if(fetch_method = 'wayback') AS BIGINT) AS n_wayback FROM f")
 def reduce_validate(spark, sf):
     base, delta = sources(spark, sf)
-    out = rows.upsert(base, delta)
-    pipelines.unique_rows(out, "reduce", base.count())
-    return rows.profile(out)
+    return pipelines.validated(rows.profile(rows.upsert(base, delta)), "reduce", F.lit(base.count()))
 
 
 @query(WITH_S + f"SELECT id, origin, CASE WHEN {HT} AND scrape_status IN ('ok_low_confidence', 'false_positive') THEN 'ok' ELSE scrape_status END AS scrape_status, coalesce(verification_level, CASE WHEN coalesce(target_verified, false) THEN 'strict_verified' WHEN {HT} THEN 'unverified_text' ELSE 'no_text' END) AS verification_level FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY {HT} DESC, src_rank DESC) = 1")
 def merged_outputs(spark, sf):
-    return pipelines.merged(sources(spark, sf)).select("id", "origin", "scrape_status", "verification_level")
+    return pipelines.merged(sources(spark, sf), wide=False).select("id", "origin", "scrape_status", "verification_level")
 
 
 @query(WITH_S + "SELECT id, origin FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY src_rank DESC) = 1")
@@ -617,8 +757,11 @@ def finalised_shard(spark, sf):
 
 
 def shared(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints"
-    return f"{base.rstrip('/')}/stream-{abs(hash((id(spark), tempfile.mktemp())))}"
+    """A new folder in the one that driver and executors share; unset, a local session's own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(base or f'file://{tempfile.gettempdir()}/checkpoints').rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
 @query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id")
@@ -631,18 +774,12 @@ def stream_upsert(spark, sf):
     return out.select("user_id", "event_id", "event_type")
 
 
-@query(f"WITH a AS ({ATTEMPT}) SELECT endpoint, count(*) AS attempts, CAST(count_if(coalesce(contains(lower(error), 'timeout'), false)) AS BIGINT) AS timeouts FROM a GROUP BY endpoint, floor(epoch(ts) / 86400)")
+@query(f"WITH a AS ({ATTEMPT}), b AS (SELECT endpoint, CAST(to_timestamp(floor(epoch(ts) / 86400) * 86400) AT TIME ZONE 'UTC' AS TIMESTAMP) AS window_start, count(*) AS attempts, CAST(count_if(coalesce(contains(lower(error), 'timeout'), false)) AS BIGINT) AS timeouts FROM a GROUP BY 1, 2) SELECT *, attempts >= 5 AND timeouts >= 0.1 * attempts AS alarm FROM b")
 def stream_heartbeat(spark, sf):
-    """Daily beats of the attempt stream, in complete mode over what has arrived."""
+    """Daily beats of the attempt stream in update mode, the newest row of each window."""
     e = table(spark, sf, "events")
     s = spark.readStream.schema(e.schema).parquet(f"{sf}/events.parquet*")
     sql = ATTEMPT.replace("FROM events", "FROM {events}").replace("event_id, ts,", "event_id, CAST(ts AS TIMESTAMP) AS ts,", 1)
-    beats = streams.heartbeat_stream(spark.sql(sql, events=s), "1 day", "60 days", 5, 0.1).select("endpoint", "attempts", "timeouts")
+    beats = streams.heartbeat_stream(spark.sql(sql, events=s), "1 day", "60 days", 5, 0.1)
     path = shared(spark)
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/beats/v={number}")
-
-    q = beats.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{path}/beats").select("endpoint", "attempts", "timeouts")
+    return streams.run_heartbeat(beats, f"{path}/beats", f"{path}/state").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -18,11 +18,12 @@ SHORT_TEXT = 500
 
 #: The columns every result row has, by type; each is null unless DEFAULTS has it.
 STRINGS = (
-    "scrape_status fetch_method extract_method final_url text attempted_methods attempt_trace fetch_error capture_time "
-    "verified_by verification_level playwright_outcome fallback_text fallback_fetch_method canonical_url source_article_url "
-    "structured_url structured_title fundus_publisher pipeline_version pipeline_run_id completed_at traf_title traf_author "
-    "traf_date traf_description traf_sitename traf_hostname traf_categories traf_tags traf_language traf_image traf_pagetype"
-).split()
+    "scrape_status", "fetch_method", "extract_method", "final_url", "text", "attempted_methods", "attempt_trace", "fetch_error", "capture_time",
+    "verified_by", "verification_level", "playwright_outcome", "fallback_text", "fallback_fetch_method", "canonical_url", "source_article_url",
+    "structured_url", "structured_title", "fundus_publisher", "pipeline_version", "pipeline_run_id", "completed_at", "traf_title", "traf_author",
+    "traf_date", "traf_description", "traf_sitename", "traf_hostname", "traf_categories", "traf_tags", "traf_language", "traf_image",
+    "traf_pagetype",
+)
 BOOLEANS = ("target_verified", "needs_archive", "fundus_free_access")
 LONGS = ("html_length", "text_length", "http_status", "fallback_text_length")
 RESULT_TYPES: dict[str, T.DataType] = {
@@ -35,7 +36,7 @@ FETCH_OUTCOME = "content binary, final_url string, status_code int, error string
 HTTP_OUTCOME = "status_code int, content binary, final_url string, error string, elapsed_s double, retry_count int, retry_successes int, probe boolean"
 CAPTURE = "timestamp string, original_url string, digest string"
 TRACE = "method string, phase string, variant string, status int, error string, source_url string, capture_time string"
-CANDIDATE = "stage int, extract_method string, body_source string, text string, urls array<struct<label: string, value: string>>, titles array<struct<label: string, value: string>>, strict_body boolean"
+CANDIDATE = "stage int, extract_method string, body_source string, text string, urls array<struct<label: string, value: string, key: string>>, titles array<struct<label: string, value: string, key: string>>, strict_body boolean"
 
 #: What counts as the provider's failure: statuses, error texts that don't, and whether an error
 #: text that names a status (http_404) counts.

@@ -1,59 +1,25 @@
-"""An offline connector for recorded archive answers: ``spark.read.format("capture_log")``.
-
-Files hold one JSON object a line: url, phase, timestamp, status, error, elapsed_s, payload. Each
-file is one partition; a filter on phase is applied while reading.
-"""
+"""Recorded archive answers as JSON lines, read by Spark's own reader on any file system."""
 
 from __future__ import annotations
 
-import glob
-import json
-import os
-
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMA = "url string, phase string, timestamp string, status int, error string, elapsed_s double, payload string"
-FIELDS = [x.split()[0] for x in SCHEMA.split(", ")]
-
-
-class CaptureLogReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path, self.phase = path, None
-
-    def pushFilters(self, filters):
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("phase",):
-                self.phase = f.value
-            yield f
-
-    def partitions(self):
-        found = sorted(glob.glob(os.path.join(self.path, "*.jsonl"))) if os.path.isdir(self.path) else [self.path]
-        return [InputPartition(p) for p in found]
-
-    def read(self, partition):
-        with open(partition.value, encoding="utf-8") as f:
-            for line in f:
-                try:
-                    r = json.loads(line)
-                except ValueError:
-                    continue
-                if isinstance(r, dict) and (self.phase is None or r.get("phase") == self.phase):
-                    yield tuple(r.get(k) for k in FIELDS)
-
-
-class CaptureLog(DataSource):
-    @classmethod
-    def name(cls):
-        return "capture_log"
-
-    def schema(self):
-        return SCHEMA
-
-    def reader(self, schema):
-        return CaptureLogReader(self.options["path"])
-
-
-def register(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(CaptureLog)
+UNREADABLE = "unreadable"
+
+
+def read_capture_log(spark: SparkSession, path: str, unreadable: bool = False) -> DataFrame:
+    """Files of one JSON object a line with the fields of SCHEMA, in any order; missing ones are null.
+
+    Files are split, columns pruned and filters pushed into the parser. Lines that can't be read are
+    left out; with ``unreadable`` they stand as rows of phase ``unreadable``, the line as payload,
+    so that they can be counted and none is lost.
+    """
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    if not unreadable:
+        return spark.read.schema(SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    raw = spark.read.schema(f"{SCHEMA}, _line string").option("columnNameOfCorruptRecord", "_line").json(path)
+    bad = F.col("_line").isNotNull()
+    new = {"phase": F.when(bad, UNREADABLE).otherwise(F.col("phase")), "payload": F.coalesce("_line", "payload")}
+    return raw.select(*[new.get(n, F.col(n)).alias(n) for n in names])

@@ -6,8 +6,9 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salvor.operators.rows import concrete
+from salvor.operators.rows import concrete, relaxed_union
 
 REQUIRED = ("id", "url", "publish_date")
 CHECKPOINTS = "_ckpt_*.parquet"
@@ -20,11 +21,25 @@ def require(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df
 
 
-def read_stories(spark: SparkSession, path: str) -> DataFrame:
+def columns_of(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a stored table, from its schema alone."""
+    return spark.read.parquet(path).columns
+
+
+def from_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table from a few rows of the driver's, by a given schema; what a row lacks is null."""
+    names = [x.name for x in T.StructType.fromDDL(schema)]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
+
+
+def read_stories(spark: SparkSession, path: str, last_wins: bool = False) -> DataFrame:
     """Stories from CSV (a byte-order mark is skipped): all text, id cast, columns and unique ids
-    required."""
+    required; with ``last_wins``, the last row of an id stays instead."""
     df = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
     df = require(df, REQUIRED).withColumn("id", F.col("id").cast("string"))
+    if last_wins:
+        m = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())
+        return df.select("*", m.alias("__at")).groupBy("id").agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), "__at").alias("x")).select("x.*")
     if not df.groupBy("id").count().where("count > 1").isEmpty():
         raise ValueError("ids are not unique")
     return df
@@ -66,12 +81,13 @@ def source_snapshot(spark: SparkSession, paths: list[str]) -> list[dict]:
 
 
 def read_sources(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
-    """Each source with its rank, time of change, whether it is canonical, and a row position."""
+    """Each source with its rank, time of change, whether it is canonical, and a row position that is
+    the same on every read: file and row in it."""
     out = []
     for rank, (path, s) in enumerate(zip(paths, source_snapshot(spark, paths), strict=True)):
         out.append(spark.read.parquet(path).withColumns({
             "id": F.col("id").cast("string"), "__source_rank": F.lit(rank), "__source_mtime": F.lit(s["mtime_ns"]), "__canonical": F.lit(not s["name"].startswith("_ckpt_")),
-            "__position": F.monotonically_increasing_id(),
+            "__position": F.struct("_metadata.file_name", "_metadata.row_index"),
         }))
     return out
 
@@ -83,11 +99,24 @@ def provenance(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, by: str | None = None) -> None:
-    """Parquet with zstd and statistics; by a column's value, one folder for each."""
-    w = concrete(df).write.option("compression", "zstd")
+    """Parquet with zstd and statistics; by a column's value, one folder and file for each."""
+    out = concrete(df)
+    w = (out.repartition(by) if by else out).write.option("compression", "zstd")
     (w.partitionBy(by) if by else w).parquet(path)
 
 
+def part_files(spark: SparkSession, folder: str) -> list[str]:
+    """The parts ``part_*`` of a folder in order of their names."""
+    fs, p = _fs(spark, f"{folder}/part_*")
+    return sorted(s.getPath().toString() for s in (fs.globStatus(p) or []))
+
+
+def read_parts(spark: SparkSession, folder: str) -> DataFrame | None:
+    """All parts with ``__part`` (their place) and ``__pos`` (file and row); None where there are none."""
+    frames = [spark.read.parquet(p).withColumns({"__part": F.lit(k), "__pos": F.struct("_metadata.file_name", "_metadata.row_index")}) for k, p in enumerate(part_files(spark, folder))]
+    return relaxed_union(*frames) if frames else None
+
+
 def fingerprint(df: DataFrame) -> str:
     """A content fingerprint that no order of rows or files changes. Sums wrap nowhere: each row's
     hash enters as two halves."""
@@ -104,6 +133,11 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -183,12 +217,18 @@ def write_json(spark: SparkSession, path: str, value, tries: int = 10) -> None:
             time.sleep(0.05 * k)
 
 
-def write_failed_urls(failed: DataFrame, folder: str) -> None:
-    """Failed URLs as a text table and as JSON rows; both are written by the executors. The count
-    stands in the report, as a header would need one task."""
+def write_failed_urls(failed: DataFrame, folder: str, array: int = 10_000) -> int:
+    """Failed URLs as text files beside a header with their count, and as JSON arrays of at most
+    ``array`` URLs, one a line. The executors write both. Returns the count."""
+    spark = failed.sparkSession
     urls = failed.where("url is not null").select("url")
-    urls.write.text(f"{folder}/failed_urls_txt")
-    urls.write.json(f"{folder}/failed_urls_json")
+    urls.write.text(f"{folder}/failed_urls_txt/urls")
+    written = spark.read.text(f"{folder}/failed_urls_txt/urls")
+    n = written.count()
+    write_text(spark, f"{folder}/failed_urls_txt/header.txt", f"# failed URLs: {n}\n")
+    part = written.select("value", F.floor(F.monotonically_increasing_id() / array).alias("part"))
+    part.groupBy("part").agg(F.to_json(F.collect_list("value")).alias("value")).select("value").write.mode("overwrite").text(f"{folder}/failed_urls_json")
+    return n
 
 
 def report(overall: dict, by_country: list[dict], by_method: list[dict], n_input: int) -> str:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import asdict
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from salvor.functions.text import contains_any_case
@@ -21,31 +23,93 @@ def source(spark: SparkSession, path: str, schema, files_a_batch: int = 1) -> Da
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 
 
-def upsert_batch(target: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: later rows by ``order`` replace saved ones. Versions of the table
-    are folders by batch number, so a batch that is run again writes the same folder, and what was
-    read before it stays whole."""
+BUCKETS = 32
+
+
+def versions(spark: SparkSession, target: str) -> dict[int, list[int]]:
+    """The versions that each bucket of an upserted table has, ascending."""
+    fs, p = files._fs(spark, f"{target}/v=*/bucket=*")
+    out: dict[int, list[int]] = {}
+    for s in fs.globStatus(p) or []:
+        path = s.getPath()
+        out.setdefault(int(path.getName().removeprefix("bucket=")), []).append(int(path.getParent().getName().removeprefix("v=")))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def newest(spark: SparkSession, target: str, below: int | None = None, only: set[int] | None = None) -> DataFrame | None:
+    """The newest version of each bucket (of a batch before ``below``) as one table, or None."""
+    have = {k: [v for v in vs if below is None or v < below] for k, vs in versions(spark, target).items() if only is None or k in only}
+    paths = [f"{target}/v={vs[-1]}/bucket={k}" for k, vs in sorted(have.items()) if vs]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def upsert_batch(target: str, key: str, order: list[str], buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: later rows by ``order`` replace saved ones.
+
+    The table is dealt by a hash of ``key`` into buckets, and a batch rewrites those alone that it
+    has rows for. A bucket's versions are folders by batch number: a batch that is run again reads
+    what was there before it and writes the same folders, and what a reader has open stays whole,
+    as the version before the newest is kept.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        have = [spark.read.parquet(f"{target}/v={number - 1}")] if number and files.exists(spark, f"{target}/v={number - 1}") else []
-        out = keep_last(relaxed_union(*have, batch), key, order)
-        out.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/v={number}")
-        if number >= 2:
-            files.remove(spark, f"{target}/v={number - 2}")
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        try:
+            touched = {r["bucket"] for r in rows.select("bucket").distinct().collect()}
+            saved = newest(spark, target, number, touched) if touched else None
+            new = rows.drop("bucket")
+            out = keep_last(new if saved is None else relaxed_union(saved, new), key, order)
+            out = out.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+            out.repartition("bucket").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{target}/v={number}")
+        finally:
+            rows.unpersist()
+        for k, vs in versions(spark, target).items():
+            for v in [v for v in vs if v < number][:-1] if k in touched else []:
+                files.remove(spark, f"{target}/v={v}/bucket={k}")
 
     return run
 
 
 def run_upsert(stream: DataFrame, target: str, checkpoint: str, key: str, order: list[str]) -> DataFrame:
     """Run the stream over what is there, then return the newest version of the table."""
-    q = stream.writeStream.foreachBatch(upsert_batch(target, key, order)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    spark = stream.sparkSession
-    last = q.lastProgress["batchId"] if q.lastProgress else 0
-    while last and not files.exists(spark, f"{target}/v={last}"):
-        last -= 1
-    return spark.read.parquet(f"{target}/v={last}")
+    flush(stream, upsert_batch(target, key, order), checkpoint).awaitTermination()
+    return newest(stream.sparkSession, target)
+
+
+def flush(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, seconds: float | None = None, mode: str = "append") -> StreamingQuery:
+    """Start a stream whose batches are flushed by size or age: the source's files a trigger bound a
+    batch, and with ``seconds`` one begins that often while the query runs; without, batches follow
+    each other until what is there has been read."""
+    w = stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if seconds is None else w.trigger(processingTime=f"{seconds} seconds")).start()
+
+
+class ProgressLog(StreamingQueryListener):
+    """Progress events of the session's streams, kept newest last and passed to ``emit``: what was
+    started, the number, rows and time of each batch, and how it ended."""
+
+    def __init__(self, emit: Callable[[dict], None] | None = None, most: int = 10_000):
+        self.events: deque[dict] = deque(maxlen=most)
+        self.emit = emit
+
+    def _add(self, **event) -> None:
+        self.events.append(event)
+        if self.emit:
+            self.emit(event)
+
+    def onQueryStarted(self, event) -> None:
+        self._add(kind="started", query=str(event.id), at=event.timestamp)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self._add(kind="progress", query=str(p.id), batch=p.batchId, rows=p.numInputRows, at=p.timestamp, milliseconds=p.batchDuration)
+
+    def onQueryIdle(self, event) -> None:
+        self._add(kind="idle", query=str(event.id), at=event.timestamp)
+
+    def onQueryTerminated(self, event) -> None:
+        self._add(kind="ended", query=str(event.id), error=event.exception)
 
 
 def append_parts(path: str, expected_unique: str = "id") -> Callable[[DataFrame, int], None]:
@@ -93,3 +157,17 @@ def heartbeat_stream(attempts: DataFrame, every: str = "60 seconds", late: str =
     beat = attempts.withWatermark("ts", late).groupBy("endpoint", F.window("ts", every).alias("w")).agg(F.count(F.lit(1)).alias("attempts"), F.count_if(slow).alias("timeouts"))
     alarm = (F.col("attempts") >= least) & (F.col("timeouts") >= rate * F.col("attempts"))
     return beat.select("endpoint", F.col("w.start").alias("window_start"), "attempts", "timeouts", alarm.alias("alarm"))
+
+
+def run_heartbeat(beats: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Run a heartbeat stream in update mode over what is there. A window is written again whenever
+    it changes; the newest row of each endpoint and window is the beat."""
+    numbered = lambda batch, number: batch.withColumn("batch", F.lit(number))
+    save = upsert_batch(target, "beat", ["batch"])
+
+    def run(batch: DataFrame, number: int) -> None:
+        save(numbered(batch, number).withColumn("beat", F.to_json(F.struct("endpoint", "window_start"))), number)
+
+    flush(beats, run, checkpoint, mode="update").awaitTermination()
+    out = newest(beats.sparkSession, target)
+    return (out if out is not None else beats.sparkSession.createDataFrame([], beats.schema)).select(*beats.columns)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from salvor.functions import html
 from salvor.operators import acceptance, archive, levels, metrics, provider, queues, rows
 from salvor.plans import pipelines
 from salvor.sources import capture_log, files
@@ -83,8 +84,38 @@ def test_resume_rows_keep_the_longest_unverified_text(spark):
 
 def test_cascade_choice(spark):
     data = [("a", 0, "u", "unverified_text"), ("a", 1, "p", "page_verified"), ("a", 2, "s", "strict_verified"), ("b", 0, "xx", "unverified_text"), ("b", 1, "yy", "unverified_text"), ("b", 2, "zzz", "unverified_text")]
-    got = {r["id"]: r["text"] for r in acceptance.chosen(spark.createDataFrame(data, "id string, position int, text string, verification_level string")).collect()}
-    assert got == {"a": "p", "b": "zzz"}
+    rows_ = spark.createDataFrame([*data, ("c", None, None, None)], "id string, position int, text string, verification_level string")
+    each = F.array_sort(F.collect_list(F.when(F.col("position").isNotNull(), F.struct("position", "text", "verification_level"))))
+    got = rows_.groupBy("id").agg(each.alias("c")).select("id", acceptance.chosen(F.col("c")).alias("x"))
+    assert {r["id"]: r["x"] and r["x"]["best"]["text"] for r in got.collect()} == {"a": "p", "b": "zzz", "c": None}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_verified_by_keeps_the_order_of_signals(spark):
+    page = """<html><head><title>Its title</title><link rel="canonical" href="/a/"><meta property="og:url" content="http://e.de/a"><meta property="og:title" content="ITS  title">
+    <script type="application/ld+json">{"@type": "NewsArticle", "url": "http://www.e.de/a", "headline": "Its title", "articleBody": "Body."}</script></head><body><article><h1>x</h1><p>Body</p></article></body></html>"""
+    df = spark.createDataFrame([("1", page, "http://e.de/a", "its title"), ("2", page, "http://e.de/b", "its title"), ("3", page, "http://e.de/b", None), ("4", None, "http://e.de/a", "")], "id string, html string, url string, title string")
+    df = df.withColumn("page", html.extract_page(F.col("html"), F.lit("http://e.de/z"), F.col("title"), url=F.col("url")))
+    got = {(r["id"], r["stage"]): (r["verified_by"], r["verification_level"]) for r in acceptance.judged(df).collect()}
+    assert got["1", 1] == ("canonical+og_url+jsonld_url+og_title+trafilatura_title+jsonld_headline+jsonld_body", "strict_verified")
+    assert got["1", 5] == ("canonical+og_url+structured_url+og_title+trafilatura_title+structured_title+whole_page", "page_verified")
+    assert got["2", 1] == ("og_title+trafilatura_title+jsonld_headline+jsonld_body", "strict_verified") and got["3", 1] == (None, "unverified_text")
+    assert not any(k[0] == "4" for k in got)
+    plan = acceptance.judged(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_jsonld_objects_and_declared_parsers(spark):
+    page = """<script type="application/ld+json">{"@type": ["A", "B"], "x": [{"@type": "C"}]}</script><script type="application/ld+json">broken</script><h1>Head</h1><div class="x entry-content">Words<nav>no</nav></div>"""
+    spark.udtf.register("jsonld_objects", html.jsonld_objects)
+    df = spark.createDataFrame([(page,), (None,)], "h string")
+    df.createOrReplaceTempView("jsonld_pages")
+    got = spark.sql("SELECT o.* FROM jsonld_pages, LATERAL jsonld_objects(h) o").collect()
+    assert [(r["position"], r["type"]) for r in got] == [(0, "A,B"), (1, "C")]
+    out = html.extract(page, "http://www.pub.de/a", None, {"pub.de": "entry-content"})
+    (c,) = [c for c in out["candidates"] if c["stage"] == 3]
+    assert out["fundus_publisher"] == "entry-content" and c["text"] == "Words" and c["titles"][0]["value"] == "Head"
 
 
 def test_publisher_takes_longest_host(spark):
@@ -173,9 +204,12 @@ def test_fingerprint_ignores_order(spark):
 
 def test_capture_log_source(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"url":"u","phase":"cdx","status":200}\nbad\n{"url":"v","phase":"direct"}\n')
-    capture_log.register(spark)
-    df = spark.read.format("capture_log").option("path", str(tmp_path)).load()
+    path = f"file://{tmp_path}"
+    df = capture_log.read_capture_log(spark, path)
     assert df.count() == 2 and df.where("phase = 'cdx'").first()["url"] == "u"
+    assert "EqualTo(phase,cdx)" in df.where("phase = 'cdx'")._jdf.queryExecution().executedPlan().toString()
+    every = capture_log.read_capture_log(spark, path, unreadable=True)
+    assert every.count() == 3 and [r["payload"] for r in every.where(F.col("phase") == capture_log.UNREADABLE).collect()] == ["bad"]
 
 
 def test_streams_resume_and_keep_state(spark, tmp_path):
