@@ -102,10 +102,11 @@ def by_policy(df: DataFrame, policy: str, position: str, key: str = "id", wide:
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on: tuple[str, str], value: str, name: str) -> DataFrame:
-    """``df`` with the ``value`` that ``dimension`` has for ``on`` (a column of each), as ``name``; null
-    where it has none. The dimension's key is unique; Spark broadcasts it where its size allows."""
+    """``df`` with the ``value`` that ``dimension`` has for ``on`` (a column of each), as ``name`` (in
+    place of a column of that name); null where it has none. The dimension's key is unique; Spark broadcasts it where its size allows."""
     d = dimension.select(F.col(on[1]).alias("__on"), F.col(value).alias(name))
-    return df.join(d, df[on[0]] == d["__on"], "left").drop("__on")
+    key = df.select(F.col(on[0]).alias("__key"), *[F.col(f"`{c}`") for c in df.columns if c != name])
+    return key.join(d, F.col("__key") == F.col("__on"), "left").drop("__on", "__key")
 
 
 def merged_metadata(df: DataFrame, new: Column, columns: list[str]) -> DataFrame:

@@ -497,8 +497,8 @@ def archive_route(spark, sf):
     return out.select("id", "terminal", "needs_archive", F.array_join(F.transform("actions", lambda a: a["phase"]), " ").alias("phases"))
 
 
-def archive_job(spark, sf) -> DataFrame:
-    """The archive run of every page over the deterministic archive, by the page's number mod 8: the
+def archive_inputs(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Queue and recorded answers of every page over the deterministic archive, by the page's number mod 8: the
     first four as in ``route_outcomes`` (direct, direct, index, nothing); 4: the index lookup fails;
     5: a page of another story by direct replay, nothing else found; 6: its direct replay fails and
     its saved text is longer; 7: its trace shows all stages done."""
@@ -523,11 +523,11 @@ def archive_job(spark, sf) -> DataFrame:
     capture = F.array(F.struct(F.lit("20190101000000").alias("timestamp"), F.col("variant").alias("original_url"), F.lit("g").alias("digest")))
     index = answer(v, "cdx", F.col("variant"), null, F.when(k == 2, capture).otherwise(F.slice(capture, 1, 0)), F.when(k == 4, 503).otherwise(200))
     replay = answer(p, "snapshot", first, F.lit("20190101000000"), none, F.lit(200), null, F.col("html"))
-    return archives.results(rows_, relaxed(direct, near, index, replay), "run", "now")
+    return rows_, rows.relaxed_union(direct, near, index, replay)
 
 
-def relaxed(*frames: DataFrame) -> DataFrame:
-    return rows.relaxed_union(*frames)
+def archive_job(spark, sf) -> DataFrame:
+    return archives.results(*archive_inputs(spark, sf), "run", "now")
 
 
 #: What the run must come to, by k. The text is the candidate that is accepted or longest.
