@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,9 @@ from salvor.llm.common import arrow_batches, components, release, staged, table
 from salvor.llm.op9_simhash import forest
 
 COSINE = 0.93
-#: Vectors that the index is fitted on at most, lists that each vector visits at least, rows of a tile.
-SAMPLE, PROBES, TILE = 20_000, 8, 512
+#: Vectors and bytes that the index is fitted on at most, lists at most, lists that each vector
+#: visits at least, rows of a tile.
+SAMPLE, SAMPLE_BYTES, LISTS, PROBES, TILE = 20_000, 64 << 20, 1024, 8, 512
 SUBSPACES, CODES = 8, 64
 
 
@@ -28,11 +31,14 @@ class Index:
     centroids: np.ndarray
     books: np.ndarray
 
-    def padded(self, rows: list) -> np.ndarray:
-        """Unit vectors, cut into subspaces of equal width by zeros at the end."""
-        out = np.zeros((len(rows), self.dim))
-        for i, r in enumerate(rows):
-            out[i, : len(r)] = r
+    def padded(self, rows: pa.Array | pa.ChunkedArray | list) -> np.ndarray:
+        """Unit vectors in double precision, cut into subspaces of equal width by zeros at the end."""
+        col = pa.array(rows, pa.list_(pa.float64())) if isinstance(rows, list) else rows
+        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+        n = pc.list_value_length(col).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(n)), n)
+        out = np.zeros((len(n), self.dim))
+        out[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] = col.flatten().to_numpy(zero_copy_only=False)
         out /= np.abs(out).max(axis=1, keepdims=True)
         return out / np.linalg.norm(out, axis=1, keepdims=True)
 
@@ -75,12 +81,12 @@ def k_means(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarra
     return c
 
 
-def fit(rows: list, dim: int, total: int) -> Index:
-    """Fit on a bounded sample of vectors; the number of lists follows the whole table."""
+def fit(rows: pa.Array | pa.ChunkedArray | list, dim: int, total: int) -> Index:
+    """Fit on a bounded sample of vectors; the number of lists follows the whole table, up to LISTS."""
     dim = -(-dim // SUBSPACES) * SUBSPACES
     index = Index(dim, np.zeros((1, dim)), np.zeros((SUBSPACES, 1, dim // SUBSPACES)))
     x = index.padded(rows)
-    index.centroids = k_means(x, int(np.clip(total // 512, 1, 1024)))
+    index.centroids = k_means(x, int(np.clip(total // 512, 1, LISTS)))
     rest = (x - index.centroids[index.lists(x, 1, 0)[:, 0]]).reshape(len(x), SUBSPACES, -1)
     index.books = np.stack([np.resize(k_means(np.ascontiguousarray(rest[:, s]), CODES), (CODES, dim // SUBSPACES)) for s in range(SUBSPACES)])
     return index
@@ -106,52 +112,56 @@ def close_links(classes: DataFrame, index: Index, least: float = COSINE, probes:
     compared with members and visitors: table cosines plus the coding error bound the cosine
     from above, so what they leave out is below the threshold, and the rest is decided by the
     exact cosine. Lists are dealt by hash into tiles, and each pair of tiles is a block, so a
-    large list is many blocks; a pair seen in two lists counts in the lower one.
+    large list is many blocks; a pair seen in two lists counts in the lower one. Vectors stay in
+    their own precision until they are compared. A pair can be missed only where neither visits
+    the other's list: ``probes`` as many as there are lists finds every pair.
     """
     spark = classes.sparkSession
     arrow_batches(spark)
     probes = probes or probes_of(len(index.centroids))
     reach = float(np.sqrt(2 - 2 * least)) + 1e-9
-    row = "cid long, grp string, copies long, embedding array<double>, list int, probes array<int>, code binary, error double"
+    kind = classes.schema["embedding"].dataType.elementType.typeName()
+    vector = F.col("embedding") if kind in ("float", "double") else F.col("embedding").cast("array<double>")
+    slim = classes.select("cid", "grp", "copies", vector.alias("embedding"))
+    row = f"cid long, grp string, copies long, embedding {slim.schema['embedding'].dataType.simpleString()}, list int, probes array<int>, code binary, error double"
+    names = [x.split()[0] for x in row.split(", ")]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t = pa.Table.from_batches([batch])
-            x = index.padded(t["embedding"].to_pylist())
+            x = index.padded(batch.column(3))
             near = index.lists(x, probes, reach)
             code, error = index.codes(x, near[:, 0])
-            cols = [t["cid"], t["grp"], t["copies"], t["embedding"], pa.array(near[:, 0], pa.int32()), pa.array([r[r >= 0].tolist() for r in near], pa.list_(pa.int32())), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(error)]
-            yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], [x.split()[0] for x in row.split(", ")])
+            size = np.append(0, (near >= 0).sum(1).cumsum()).astype(np.int32)
+            visits = pa.ListArray.from_arrays(pa.array(size), pa.array(near[near >= 0].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near[:, 0], pa.int32()), visits, pa.array([c.tobytes() for c in code], pa.binary()), pa.array(error)], names)
 
-    placed = staged(classes.select("cid", "grp", "copies", F.col("embedding").cast("array<double>")).mapInArrow(place, row), "lists")
+    placed = staged(slim.mapInArrow(place, row), "lists")
     sizes = placed.select("grp", F.explode("probes").alias("at")).groupBy("grp", "at").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = staged(sizes.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("long")), "list-sizes")
+    sizes = staged(sizes.select("grp", "at", F.ceil(F.col("n") / TILE).cast("long").alias("tiles"), F.monotonically_increasing_id().alias("place")), "list-sizes")
     seen = placed.withColumn("at", F.explode("probes")).join(sizes, ["grp", "at"])
     tile = F.pmod(F.xxhash64("cid", F.lit(3)), F.col("tiles"))
     seen = seen.withColumn("tile", tile).withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
-    seen = seen.select("grp", "at", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "cid", "copies", "embedding", "list", "probes", "code", "error")
-    block = ["grp", "at", "a", "b"]
+    block = ["place", "a", "b"]
+    seen = seen.select("place", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "at", "cid", "copies", "list", "error", "code", "probes", "embedding")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seen = seen.repartition(n, *block).sortWithinPartitions(*block)
 
-    def compare(rows: list[dict]) -> Iterator[tuple[int, int, int]]:
-        at, split = rows[0]["at"], rows[0]["a"] != rows[0]["b"]
-        x = index.padded([r["embedding"] for r in rows])
-        own = np.array([r["list"] for r in rows]) == at
-        lists = np.array([r["list"] for r in rows])
-        tile = np.array([r["tile"] for r in rows])
-        cid = np.array([r["cid"] for r in rows], np.int64)
-        visits = [set(r["probes"]) for r in rows]
+    def compare(rows: pa.RecordBatch) -> pa.RecordBatch | None:
+        col = lambda name: rows.column(name).to_numpy(zero_copy_only=False)
+        lists, tile, cid, copies = col("list"), col("tile"), col("cid"), col("copies")
+        at, split = int(col("at")[0]), col("a")[0] != col("b")[0]
+        own = lists == at
         base = np.flatnonzero(own)
         if not len(base):
-            return
-        code = np.frombuffer(b"".join(rows[i]["code"] for i in base), np.uint8).reshape(len(base), -1)
-        error = np.array([rows[i]["error"] for i in base])
+            return None
+        x = index.padded(rows.column("embedding"))
+        code = np.frombuffer(b"".join(rows.column("code").take(pa.array(base)).to_pylist()), np.uint8).reshape(len(base), -1)
+        error = col("error")[base]
         pairs = []
-        for start in range(0, len(rows), 256):
-            q = np.arange(start, min(start + 256, len(rows)))
+        for start in range(0, len(x), 256):
+            q = np.arange(start, min(start + 256, len(x)))
             likely = index.table_cosines(x[q], at, code) + error >= least - 1e-9
             if split:
                 likely &= tile[q][:, None] != tile[base]
@@ -163,60 +173,73 @@ def close_links(classes: DataFrame, index: Index, least: float = COSINE, probes:
                 a, b = i[s : s + 65536], j[s : s + 65536]
                 sure = np.einsum("ij,ij->i", x[a], x[b]) >= least
                 pairs.append((a[sure], b[sure]))
-        if not pairs:
-            return
-        i, j = (np.concatenate(p) for p in zip(*pairs, strict=True))
-        twice = np.array([not own[a] and int(lists[a]) < at and int(lists[a]) in visits[b] for a, b in zip(i, j, strict=True)], bool)
-        i, j = i[~twice], j[~twice]
-        copies = np.array([r["copies"] for r in rows], np.int64)
-        degree = np.zeros(len(rows), np.int64)
-        np.add.at(degree, i, copies[j])
-        np.add.at(degree, j, copies[i])
-        root = forest(len(rows), i, j)
-        for k in np.flatnonzero(degree):
-            yield int(cid[k]), int(cid[root[k]]), int(degree[k])
+        i, j = (np.concatenate(p) for p in zip(*pairs, strict=True)) if pairs else (np.empty(0, int),) * 2
+        if not len(i):
+            return None
+        many = pc.list_value_length(rows.column("probes")).to_numpy(zero_copy_only=False)
+        visits = np.full((len(x), many.max()), -1)
+        visits[np.arange(visits.shape[1]) < many[:, None]] = rows.column("probes").flatten().to_numpy()
+        for s in range(0, len(i), 65536):  # a pair that the visitor's own, lower list sees too counts there
+            part = slice(s, s + 65536)
+            twice = ~own[i[part]] & (lists[i[part]] < at) & (visits[j[part]] == lists[i[part]][:, None]).any(axis=1)
+            i[part] = np.where(twice, -1, i[part])
+        i, j = i[i >= 0], j[i >= 0]
+        degree = np.bincount(i, copies[j], len(x)) + np.bincount(j, copies[i], len(x))
+        root = forest(len(x), i, j)
+        k = np.flatnonzero(degree)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (cid[k], cid[root[k]], degree[k].astype(np.int64))], ["cid", "root", "degree"]) if len(k) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def blocks():
-            held, key = [], None
-            for batch in batches:
-                for r in batch.to_pylist():
-                    k = (r["grp"], r["at"], r["a"], r["b"])
-                    if k != key and held:
-                        yield held
-                        held = []
-                    key = k
-                    held.append(r)
-            if held:
-                yield held
-
-        for rows in blocks():
-            if out := list(compare(rows)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cid", "root", "degree"])
+        for rows in blocks_of(batches, 3):
+            if (out := compare(rows)) is not None:
+                yield out
 
     out = staged(seen.mapInArrow(run, "cid long, root long, degree long"), "close")
     release(placed, sizes)
     return out
 
 
+def blocks_of(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows that are alike in their first ``n_keys`` columns of whole numbers, each as one batch."""
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    held, key = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in range(n_keys)])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for a, b in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+            if held and tuple(keys[:, a]) != key:
+                yield joined(held)
+                held = []
+            key = tuple(keys[:, a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield joined(held)
+
+
 def near_embeddings(vectors: DataFrame, least: float = COSINE, probes: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of ``vectors(vec_id, embedding, label)``.
 
     Equal vectors of a label are one class with a count, so copies link without being compared.
     Vectors of different length never link. Unusable vectors, and those whose label is null,
     stand alone. Rows with the same vec_id are vectors of their own; a null vec_id never names
-    a component that has another; an empty table gives no rows.
+    a component that has another; an empty table gives no rows. The index is fitted on SAMPLE
+    vectors or SAMPLE_BYTES of them, the first by a hash; all are indexed.
     """
     grp = F.concat_ws("/", F.col("label").cast("string"), F.size("embedding").cast("string"))
     v = vectors.select("vec_id", "embedding", F.when(usable(F.col("embedding")) & F.col("label").isNotNull(), grp).alias("grp"))
     good = v.where("grp is not null")
     classes = good.groupBy("grp", "embedding").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
     classes = staged(classes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
-    total = classes.count()
+    total, dim = classes.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     if total:
-        sample = classes.orderBy(F.xxhash64("embedding"), "cid").select("embedding").limit(SAMPLE).collect()
-        index = fit([r["embedding"] for r in sample], classes.agg(F.max(F.size("embedding"))).first()[0], total)
-        close = close_links(classes, index, least, probes)
+        most = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * dim)))
+        sample = classes.orderBy(F.xxhash64("embedding"), "cid").select("embedding").limit(most).toArrow()["embedding"]
+        close = close_links(classes, fit(sample, dim, total), least, probes)
     else:
         close = v.sparkSession.createDataFrame([], "cid long, root long, degree long")
     member, used = components(close.select(F.col("cid").alias("u"), F.col("root").alias("v")))
