@@ -15,8 +15,8 @@ from salvor.llm.common import arrow_batches, components, of_row, release, staged
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
-#: Rows of one block at most, and rows of one band key on average.
-TILE, MEAN = 1024, 256
+#: Rows of a tile, of one band key on average, and of a band key that is cut by further bits.
+TILE, MEAN, HOT = 1024, 256, 4096
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -146,12 +146,24 @@ def bands(total: int, radius: int, mean: int = MEAN) -> tuple[list[list[tuple[in
     return sets, min(want, width)
 
 
+def parts_of_rest(spans: list[tuple[int, int]], bits: int, radius: int) -> list[int]:
+    """Masks (as signed longs) that cut the bits which a band's key leaves out into radius + 1 parts:
+    of two fingerprints in that band within the radius, one part is alike."""
+    used = [b for start, width in spans for b in range(start, start + width)][:bits]
+    rest = [b for b in range(64) if b not in used]
+    edge = [len(rest) * k // (radius + 1) for k in range(radius + 2)]
+    masks = [sum(1 << b for b in rest[x:y]) for x, y in itertools.pairwise(edge)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (u, v) that connect all of ``distinct(fp)``, staged, within the radius.
 
-    Each fingerprint goes to one block for each band combination. A key with many rows is dealt
-    by hash into tiles, and every pair of its tiles is a block of its own. A block returns its
-    components' edges, not its pairs.
+    Each fingerprint goes to one block for each band combination. A key with more than HOT rows is
+    cut by parts of its other bits, as exactly as by bands. In a key with more than TILE rows, those
+    within the radius of its smallest fingerprint are linked to it, which connects them; the others
+    are dealt by hash into tiles and compared with all, so a dense group costs its rows times those
+    that are far from its smallest. A block returns its components' edges, not its pairs.
     """
     sets, bits = bands(distinct.count(), radius)
 
@@ -164,11 +176,26 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                 used += width
         return out.bitwiseOR(F.lit(k << 48))
 
+    sized = lambda df: staged(df.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("pivot")).where("n > 1"), "bands")
     keyed = distinct.select("fp", F.explode(F.array(*[key(k, s) for k, s in enumerate(sets)])).alias("key"))
-    sizes = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
-    dealt = keyed.join(sizes, "key").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("long"))
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("tiles")))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
+    sizes = sized(keyed)
+    met = keyed.join(sizes, "key")
+    if not sizes.where(F.col("n") > HOT).isEmpty():
+        masks = F.array(*[F.array(*[F.lit(m).cast("long") for m in parts_of_rest(s, bits, radius)]) for s in sets])
+        part = F.posexplode(F.element_at(masks, (F.shiftright("key", 48) + 1).cast("int"))).alias("j", "mask")
+        hot = met.where(F.col("n") > HOT).select("fp", "key", part).select("fp", F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+        met = met.where(F.col("n") <= HOT).unionByName(hot.join(sized(hot), "key"))
+    near = (F.col("n") > TILE) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= radius)
+    met = met.withColumn("near", near)
+    large = staged(met.where(F.col("n") > TILE).groupBy("key").agg(F.count_if("near").alias("n_near"), F.count_if(~F.col("near")).alias("n_far")), "large-bands")
+    spokes = met.where("near and fp <> pivot").select(F.col("pivot").alias("u"), F.col("fp").alias("v")).distinct()
+    tiles = lambda c: F.ceil(F.col(c) / TILE).cast("long")
+    dealt = met.join(large.select("key", tiles("n_near").alias("t_near"), tiles("n_far").alias("t_far")), "key", "left").fillna({"t_near": 0, "t_far": 1})
+    at = lambda c: F.pmod(F.xxhash64("fp", F.lit(7)), F.greatest(F.lit(1), F.col(c)))
+    dealt = dealt.withColumn("tile", F.when(F.col("near"), at("t_near")).otherwise(F.col("t_near") + at("t_far")))
+    first = F.when(F.col("near"), F.col("t_near")).otherwise(0)
+    others = F.when(F.col("t_far") > 0, F.sequence(first, F.col("t_near") + F.col("t_far") - 1)).otherwise(F.array().cast("array<bigint>"))
+    dealt = dealt.withColumn("other", F.explode(others))
     dealt = dealt.select("key", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "fp")
     block = ["key", "a", "b"]
     n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -207,7 +234,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "u long, v long").unionByName(spokes)
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -247,3 +274,72 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 def op9_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# The same in SQL: XXH64 as published, a column or fold for each of its steps. Products are made in
+# 128 bits and cut to 64.
+
+#: The five primes of XXH64.
+PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+
+
+def _low(x: str) -> str:
+    return f"CAST(({x}) % {1 << 64}::UHUGEINT AS UBIGINT)"
+
+
+def _times(a: str, b: int) -> str:
+    return _low(f"CAST({a} AS UHUGEINT) * {b}::UHUGEINT")
+
+
+def _plus(a: str, b) -> str:
+    return _low(f"CAST({a} AS UHUGEINT) + CAST({b} AS UHUGEINT)")
+
+
+def _turn(x: str, r: int) -> str:
+    return f"({_times(x, 1 << r)} | ({x} >> {64 - r}))"
+
+
+def _round(held: str, lane: str) -> str:
+    return _times(_turn(_plus(held, _times(lane, PRIMES[1])), 31), PRIMES[0])
+
+
+def _hash_steps() -> str:
+    """Relations from u(s), the distinct shingles, to x(s, h)."""
+    p1, p2, p3, p4, p5 = PRIMES
+    begin = [x % (1 << 64) for x in (SEED + p1 + p2, SEED + p2, SEED, SEED - p1)]
+    stripes = ", ".join(f"CASE WHEN z > 0 THEN list_reduce(list_transform(range(z), lambda i: l[4 * i + {k + 1}]), lambda a, x: {_round('a', 'x')}, {v}::UBIGINT) END AS v{k}" for k, v in enumerate(begin))
+    joined = _plus(_plus(_turn("v0", 1), _turn("v1", 7)), _plus(_turn("v2", 12), _turn("v3", 18)))
+    merges = ", ".join(f"m{k} AS (SELECT *, {_plus(_times(f'xor({"m" if k == 0 else f"m{k - 1}"}, {_round("0", f"v{k}")})', p1), p4)} AS m{k} FROM {'m' if k == 0 else f'm{k - 1}'})" for k in range(4))
+    lane = lambda start, n: f"CAST('0x' || list_aggregate(list_reverse(b[{start} + 1:{start} + {n}]), 'string_agg', '') AS UBIGINT)"
+    eight = _plus(_times(_turn(f"xor(h, {_round('0', 'x')})", 27), p1), p4)
+    four = _plus(_times(_turn(f"xor(h, {_times(lane('(n - n % 8)', 4), p1)})", 23), p2), p3)
+    one = _times(_turn(f"xor(h, {_times('x', p5)})", 11), p1)
+    return f"""
+b AS (SELECT s, regexp_extract_all(hex(encode(s)), '..') AS b, octet_length(encode(s)) AS n FROM u),
+l AS (SELECT *, list_transform(range(n // 8), lambda i: {lane('8 * i', 8)}) AS l, n // 32 AS z FROM b),
+v AS (SELECT *, {stripes} FROM l),
+m AS (SELECT *, {joined} AS m FROM v),
+{merges},
+h0 AS (SELECT s, b, n, l, z, {_plus(f"coalesce(m3, {(SEED + p5) % (1 << 64)}::UBIGINT)", "n")} AS h FROM m3),
+h1 AS (SELECT s, b, n, list_reduce(l[4 * z + 1:], lambda h, x: {eight}, h) AS h FROM h0),
+h2 AS (SELECT s, b, n, CASE WHEN n % 8 >= 4 THEN {four} ELSE h END AS h FROM h1),
+h3 AS (SELECT s, list_reduce(list_transform(b[n - n % 4 + 1:], lambda x: CAST('0x' || x AS UBIGINT)), lambda h, x: {one}, h) AS h FROM h2),
+h4 AS (SELECT s, {_times('xor(h, h >> 33)', p2)} AS h FROM h3),
+h5 AS (SELECT s, {_times('xor(h, h >> 29)', p3)} AS h FROM h4),
+x AS (SELECT s, xor(h, h >> 32) AS h FROM h5)"""
+
+
+ORACLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+s AS (SELECT doc_id, unnest(list_transform(range(1, greatest(2, len(w) - {SHINGLE - 2})), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) AS s FROM d WHERE len(w) > 0),
+u AS (SELECT DISTINCT s FROM s),{_hash_steps()},
+c AS (SELECT doc_id, k, 2 * sum(CAST((h >> k) & 1 AS BIGINT)) > count(*) AS bit FROM s JOIN x ON x.s = s.s, range(64) r(k) GROUP BY doc_id, k),
+f AS (SELECT d.doc_id, coalesce(sum(CASE WHEN bit THEN CAST(1 AS HUGEINT) << CAST(k AS INTEGER) END), 0) AS fp FROM d LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY d.doc_id),
+n AS (SELECT fp, min(doc_id) AS least FROM f GROUP BY fp),
+e AS (SELECT a.fp AS u, b.fp AS v FROM n a JOIN n b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {RADIUS}),
+reach AS (SELECT fp AS u, fp AS v FROM n UNION SELECT r.u, e.v FROM reach r JOIN e ON e.u = r.v),
+g AS (SELECT r.u, min(n.least) AS component_id FROM reach r JOIN n ON n.fp = r.v GROUP BY r.u)
+SELECT f.doc_id, lpad(lower(hex(CAST(f.fp AS UBIGINT))), 16, '0') AS fingerprint, g.component_id FROM f JOIN g ON g.u = f.fp
+"""
