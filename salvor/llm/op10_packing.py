@@ -26,7 +26,17 @@ PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 
 class Ids:
-    """Token ids of a text, equal to those of ``tokenizers`` for the vocabulary file."""
+    """Token ids of a text, equal to those of ``tokenizers`` for the vocabulary file.
+
+    A byte-pair vocabulary merges within the parts that its pattern cuts, so ids are equal where the
+    parts and the merge ranks are. The ranks file has the vocabulary's own ranks, and ``full`` its
+    own pattern. ``plain`` differs from it in one alternative: white space not followed by other
+    characters, which looks ahead. Where no two white-space characters stand together, none is odd
+    and none stands at either end, that alternative never matches: each is followed by another
+    character, and takes part in the alternatives before and after it alike in both patterns. ODD
+    finds all other texts, for which ``full`` is used; those with the end-of-text string go to
+    the library itself. Tests compare ids over every Unicode category.
+    """
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None):
         from tokenizers import Tokenizer
