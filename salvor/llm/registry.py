@@ -19,9 +19,8 @@ QUERIES = {
         op10_packing.op10_best_fit_packing,
     )
 }
-#: op7 to op10 have no SQL here: ranks within a cell are by a 64-bit hash, the model is trained, and
-#: fingerprints and tokens need a hash and a vocabulary that SQL lacks. Tests compare them with
-#: brute force.
+#: op8 and op10 have no SQL: the model is trained, and tokens need a vocabulary that SQL lacks. Tests
+#: compare them with held-out labels, the tokenizer and packing one by one.
 ORACLES = {
     "op1_source_mixing": op1_mixing.ORACLE,
     "op2_embedding_pq": op2_embeddings.ORACLE,
@@ -29,4 +28,6 @@ ORACLES = {
     "op4_warc_salvage": op4_warc.ORACLE,
     "op5_chunk_recipe_dedup": op5_exact_dedup.ORACLE,
     "op6_line_site_spread": op6_lines.ORACLE,
+    "op7_hilbert_sharding": op7_sharding.ORACLE,
+    "op9_simhash_bit_sliced": op9_simhash.ORACLE,
 }

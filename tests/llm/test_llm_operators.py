@@ -165,6 +165,35 @@ def test_embeddings_are_linked_across_hundreds_of_lists(spark):
     assert len(index.centroids) == 300 and want >= 2500 and 0.998 * want <= links <= want
 
 
+def test_embeddings_with_probes_for_every_list(spark, monkeypatch):
+    """As many probes as lists find every pair; blocks of tiles count each once."""
+    monkeypatch.setattr(op2_embeddings, "TILE", 16)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(60, 24))
+    x = (base[rng.integers(0, 60, 700)] + rng.normal(size=(700, 24)) * rng.choice([0.03, 0.2], size=(700, 1))).astype("f4")
+    index = op2_embeddings.fit(x.tolist(), 24, 512 * 40)
+    classes = spark.createDataFrame([(k, "g", v, 1 + k % 3) for k, v in enumerate(x.tolist())], "cid long, grp string, embedding array<float>, copies long")
+    got = op2_embeddings.close_links(classes, index, probes=40).groupBy("cid").agg(F.sum("degree").alias("n")).collect()
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= op2_embeddings.COSINE
+    np.fill_diagonal(near, False)
+    want = near @ (1 + np.arange(700) % 3)
+    assert len(index.centroids) == 40 and want.max() > 20 and {r["cid"]: r["n"] for r in got} == {k: n for k, n in enumerate(want.tolist()) if n}
+
+
+def test_index_recall_of_a_stated_query_set(spark):
+    """Queries: ids divisible by 20, against all rows, over 64 lists and more."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(1500, 32))
+    x = np.concatenate([base, base + 0.33 * rng.normal(size=base.shape)]).astype("f4")
+    index = op2_embeddings.fit(x.tolist(), 32, 512 * 100)
+    unit, probes = index.padded(x.tolist()), op2_embeddings.probes_of(100)
+    near = index.lists(unit, probes, float(np.sqrt(2 - 2 * op2_embeddings.COSINE)))
+    links = [(q, k) for q in range(0, len(x), 20) for k in np.flatnonzero(unit @ unit[q] >= op2_embeddings.COSINE) if k != q]
+    met = [near[k, 0] in near[q] or near[q, 0] in near[k] for q, k in links]
+    assert len(index.centroids) >= 64 and len(links) > 30 and np.mean(met) >= 0.9
+
+
 def test_table_cosines_bound_the_cosine():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(500, 20))
@@ -534,6 +563,43 @@ def test_bands_lose_no_pair(total):
     assert all(sum(w for _, w in s) >= bits for s in sets)
 
 
+@pytest.mark.parametrize("radius", [1, 4])
+def test_parts_of_a_hot_band_lose_no_pair(radius):
+    rng = random.Random(radius)
+    sets, bits = op9_simhash.bands(100_000, radius)
+    for spans in sets:
+        used = sum(1 << b for b in [b for a, w in spans for b in range(a, a + w)][:bits])
+        masks = [m & (2**64 - 1) for m in op9_simhash.parts_of_rest(spans, bits, radius)]
+        assert sum(masks) + used == 2**64 - 1 and len(masks) == radius + 1
+        rest = [b for b in range(64) if not used >> b & 1]
+        for _ in range(50):
+            diff = sum(1 << b for b in rng.sample(rest, radius))
+            assert any(not diff & m for m in masks)
+
+
+@pytest.mark.parametrize("hot", [30, 10_000])
+def test_hot_bands_and_dense_groups(spark, monkeypatch, hot):
+    monkeypatch.setattr(op9_simhash, "TILE", 16)
+    monkeypatch.setattr(op9_simhash, "HOT", hot)
+    rng = np.random.default_rng(hot)
+    head = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
+    low = rng.integers(0, 1 << 24, 400, dtype=np.uint64)  # shares 40 bits: hot bands of far fingerprints
+    flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4), replace=False)) for _ in range(300)]
+    fps = np.unique(np.concatenate([(head[0] & ~np.uint64((1 << 24) - 1)) | low, np.array([int(head[1]) ^ f for f in flips], np.uint64), np.array([int(head[2]) ^ f for f in flips[:9]], np.uint64)]))
+    node, _ = components(op9_simhash.links(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")))
+    got = {r["node"] & (2**64 - 1): r["root"] for r in node.collect()}
+    near = np.bitwise_count(fps[:, None] ^ fps[None]) <= 4
+    root = op9_simhash.forest(len(fps), *np.nonzero(np.triu(near, 1)))
+    assert len(set(root.tolist())) > 3 and max(Counter(root.tolist()).values()) > 100
+    groups = lambda names: sorted(sorted(g) for g in names.values() if len(g) > 1)
+    want, have = defaultdict(list), defaultdict(list)
+    for x, r in zip(fps.tolist(), root.tolist(), strict=True):
+        want[r].append(x)
+        if x in got:
+            have[got[x]].append(x)
+    assert groups(want) == groups(have)
+
+
 def test_near_duplicates_of_clusters(spark, docs, monkeypatch):
     monkeypatch.setattr(op9_simhash, "TILE", 16)
     rng = random.Random(9)
