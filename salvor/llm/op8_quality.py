@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,8 @@ from salvor.llm.common import arrow_batches, free_name, table
 #: Labelled rows that the model learns from, at most; the first by a hash of doc_id.
 SAMPLE = 20_000
 THRESHOLD = 0.3
-FEATURES = ("words", "word_length", "upper", "symbols", "bars", "shouts", "digits", "stops", "variety", "repeats", "line_length", "high_bytes", "marked_words")
+FEATURES = ("words", "word_length", "upper", "symbols", "bars", "shouts", "digits", "stops", "variety", "repeats", "line_length", "high_bytes", "marked_words",
+            "entropy", "top_word", "sentence_length", "short_words", "long_words", "repeated_trigrams")
 
 _UPPER, _LOWER, _DIGIT, _SYMBOL = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91] = _LOWER[97:123] = _DIGIT[48:58] = True
@@ -23,7 +25,7 @@ _SYMBOL[list(b"#$%&*@^~<>{}[]=+_\\/")] = True
 
 
 def features(text: str | None) -> list[float]:
-    """Measures of a whole text by its bytes, words and lines; an empty one has zeros."""
+    """Measures of a whole text by its bytes, words, word triples and lines; an empty one has zeros."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     if not words:
@@ -31,13 +33,18 @@ def features(text: str | None) -> list[float]:
     n = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     letters = max(1, int(n[_UPPER].sum() + n[_LOWER].sum()))
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    size, many = len(raw), len(words)
-    marked = sum(1 for w in words if not w[-1:].isalnum() and w[-1] < 128 and w[-1] not in b".,;:")
+    size, many, counts = len(raw), len(words), Counter(words)
+    sizes = np.fromiter(map(len, words), np.int64, many)
+    marked = sum(c for w, c in counts.items() if not w[-1:].isalnum() and w[-1] < 128 and w[-1] not in b".,;:")
+    share = n[n > 0] / size
+    triples = max(1, many - 2)
     return [
-        np.log1p(many), sum(map(len, words)) / many, n[_UPPER].sum() / letters, n[_SYMBOL].sum() / size,
-        n[124] / many, n[33] / many, n[_DIGIT].sum() / size, (n[46] + n[44]) / many, len(set(words)) / many,
+        np.log1p(many), sizes.mean(), n[_UPPER].sum() / letters, n[_SYMBOL].sum() / size,
+        n[124] / many, n[33] / many, n[_DIGIT].sum() / size, (n[46] + n[44]) / many, len(counts) / many,
         1 - len(set(lines)) / len(lines), np.log1p(size / len(lines)), n[128:].sum() / size, marked / many,
-    ]
+        -(share * np.log2(share)).sum(), max(counts.values()) / many, np.log1p(many / (1 + n[46] + n[33] + n[63])), (sizes <= 2).mean(), (sizes >= 20).mean(),
+        1 - len(set(zip(words, words[1:], words[2:], strict=False))) / triples if many > 2 else 0.0,
+    ]
 
 
 def feature_rows(texts) -> np.ndarray:
