@@ -385,12 +385,13 @@ def judged_pages(spark, sf):
     return p.select("id", html.extract_page(F.col("html"), F.col("url"), F.col("title")).alias("page"))
 
 
-CANDIDATE_COLUMNS = ["id", "position", "extract_method", "verification_level", "verified_by", F.length("text").cast("long").alias("n_text"), F.md5(F.col("text").cast("binary")).alias("digest")]
+def candidate_columns() -> list:
+    return ["id", "position", "extract_method", "verification_level", "verified_by", F.length("text").cast("long").alias("n_text"), F.md5(F.col("text").cast("binary")).alias("digest")]
 
 
 @query(CANDIDATES + "SELECT * FROM j")
 def page_candidates(spark, sf):
-    return acceptance.judged(judged_pages(spark, sf)).select(*CANDIDATE_COLUMNS)
+    return acceptance.judged(judged_pages(spark, sf)).select(*candidate_columns())
 
 
 @query(f"SELECT CAST(page_id AS VARCHAR) AS id, {TITLE} AS page_title, lower(regexp_extract(html, '(?i)<html[^>]* lang=\"([^\"]*)', 1)) AS language, regexp_replace(regexp_replace(lower({P(4)}), ':[0-9]*$', ''), '^www[.]', '') AS hostname, CAST(NULL AS VARCHAR) AS canonical_url, {P(4)} AS target_host, len(regexp_extract_all(html, '(?i)<article[\\s>]')) = 1 AS scoped FROM pages")
@@ -405,7 +406,7 @@ def page_extract(spark, sf):
 def identity_level(spark, sf):
     """A page's own title identifies it; another story's does not."""
     best = judged_pages(spark, sf).select("id", acceptance.chosen(acceptance.judged_candidates(F.col("page"))).alias("x"))
-    return best.select("id", "x.best.*").select(*CANDIDATE_COLUMNS).drop("position")
+    return best.select("id", "x.best.*").select(*candidate_columns()).drop("position")
 
 
 # Captures, traces, routing

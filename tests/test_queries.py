@@ -23,3 +23,13 @@ def test_query_without_sql_runs(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() == 3
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_needs_no_session_to_be_imported():
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=ROOT, capture_output=True, text=True, check=False)
+    assert out.returncode == 0, out.stderr
