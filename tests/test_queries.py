@@ -15,9 +15,8 @@ def test_query_equals_sql(spark, oracle, name):
     assert rows_of(df) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_query_without_sql_runs(spark, name):
-    assert registry.QUERIES[name](spark, DATA).count() > 0
+def test_every_query_has_its_sql():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 def test_entry(spark):

@@ -80,7 +80,8 @@ def test_failures_defer_and_texts_are_kept(spark):
     past = json.dumps([{"method": "wayback", "phase": "direct", "status": 404}])
     done = json.dumps([{"method": "wayback", "phase": p, "status": 200} for p in ("direct", "availability", "cdx")])
     saved = {"text": {"b": "saved " * 100, "d": "s"}, "verification_level": {"b": "unverified_text", "d": "unverified_text"}, "fetch_method": {"b": "requests", "d": "requests"}, "attempt_trace": {"c": past, "e": done, "h": "[broken"}, "fallback_text": {"d": "f" * 500}, "fallback_text_length": {"d": 500}, "fallback_fetch_method": {"d": "playwright"}, "publish_date": {"h": None}}
-    got = {r["id"]: r for r in archive_run.results(queue(spark, *"abcdefgh", **saved), spark.createDataFrame(out, ANSWERS), "r", "now").collect()}
+    frame = archive_run.results(queue(spark, *"abcdefgh", **saved), spark.createDataFrame(out, ANSWERS), "r", "now").persist()
+    got = {r["id"]: r for r in frame.collect()}
     assert got["a"]["outcome"] == "deferred" and got["a"]["needs_archive"] and got["a"]["text"] is None and len(json.loads(got["a"]["attempt_trace"])) == 5
     assert got["b"]["outcome"] == "deferred" and got["b"]["text"] == "saved " * 100 and got["b"]["fetch_method"] == "requests"  # longer than the replay's
     assert got["c"]["outcome"] == "recovered" and [e["phase"] for e in json.loads(got["c"]["attempt_trace"])] == ["direct", "availability", "snapshot"]
@@ -89,11 +90,11 @@ def test_failures_defer_and_texts_are_kept(spark):
     assert got["f"]["outcome"] == "deferred"  # the look-up after its direct replay was not recorded
     assert got["g"]["outcome"] == "deferred" and got["g"]["text"] is None
     assert got["h"]["outcome"] == "deferred" and json.loads(got["h"]["attempt_trace"]) == []
-    frame = archive_run.results(queue(spark, *"abcdefgh", **saved), spark.createDataFrame(out, ANSWERS), "r", "now")
     assert archive_run.counters(frame).first().asDict() == {"rows_completed": 8, "rows_recovered": 1, "rows_deferred": 5, "rows_unverified": 1, "rows_no_text": 0, "terminal_acceptances": 1}
     http = {r["kind"]: r for r in archive_run.http_totals(frame).collect()}
     assert http["direct"]["logical_requests"] == 5 and http["direct"]["errors"] == {"ReadTimeout": 1} and http["direct"]["http_attempts"] == 6 and http["availability"]["statuses"] == {"200": 5, "500": 1}
-    none = archive_run.results(queue(spark, *"a").limit(0), spark.createDataFrame([], ANSWERS), "r", "now")
+    frame.unpersist()
+    none = archive_run.results(queue(spark, *"a").limit(0), spark.createDataFrame([], ANSWERS), "r", "now").persist()
     assert none.count() == 0 and archive_run.run_metrics(none)["average_http_seconds"] == 0.0
 
 
