@@ -118,9 +118,9 @@ def failed_url_files(spark, sf):
     folder = shared(spark)
     n = files.write_failed_urls(table(spark, sf, "pages").where("page_id % 5 = 0").select("url"), folder, 7)
     t = spark.read.text(f"{folder}/failed_urls_txt/urls")
-    arrays = spark.read.text(f"{folder}/failed_urls_json").agg(F.sum(F.json_array_length("value")).alias("in_arrays"))
+    arrays = spark.read.text(f"{folder}/failed_urls_json").agg(F.sum(F.json_array_length("value"))).first()[0]
     out = t.agg(F.md5(F.array_join(F.array_sort(F.collect_list("value")), "\n").cast("binary")).alias("digest"))
-    return out.crossJoin(arrays).select(F.lit(n).cast("long").alias("n"), "digest", "in_arrays", F.lit(files.read_text(spark, f"{folder}/failed_urls_txt/header.txt")).alias("header"))
+    return out.select(F.lit(n).cast("long").alias("n"), "digest", F.lit(arrays).cast("long").alias("in_arrays"), F.lit(files.read_text(spark, f"{folder}/failed_urls_txt/header.txt")).alias("header"))
 
 
 @query("SELECT user_id, count(*) AS n_rows, min(event_id) AS first, 'kept, b' AS tags, 'en' AS language FROM events GROUP BY user_id")
