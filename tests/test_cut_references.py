@@ -5,7 +5,7 @@ import duckdb
 import pytest
 from conftest import oracle_rows, rows_of
 
-QUERIES = ["archive_all", "archive_run", "identity_level", "live_scrape", "page_candidates", "page_extract"]
+QUERIES = ["archive_all", "archive_run", "identity_level", "live_scrape", "page_candidates", "page_extract", "page_title_norm"]
 CUTS = ["&amp", "&quot", "&am", "&lt", "&copy"]
 PAGE = '<!DOCTYPE html><html lang="en"><head><title>{t}</title></head><body><nav>no</nav><article><h1>{t}</h1><p>Body {n}: x &amp; y &copy;{cut}</p>{cut}</article></body></html>'
 
