@@ -72,6 +72,27 @@ def observe(s: dict, ts: float, failure: bool, content: bool, b: Breaker) -> str
     return state
 
 
+def observe_run(s: dict, ts: np.ndarray, failure: np.ndarray, content: np.ndarray, b: Breaker) -> dict[str, np.ndarray]:
+    """observe() over outcomes of one endpoint in order: the state that each was met in and the
+    numbers after it. Runs of healthy answers that leave a closed breaker as it is are passed over
+    at once."""
+    n = len(ts)
+    state, after = np.full(n, "closed", dtype=object), {"consecutive": np.zeros(n, np.int32), "pause_until": np.zeros(n), "openings": np.zeros(n, np.int32)}
+    stops = np.flatnonzero(failure.astype(bool))  # rows that a run of healthy answers ends at
+    k = 0
+    while k < n:
+        if not (s["probe"] or s["consecutive"] or failure[k]) and ts[k] >= s["pause_until"]:
+            at = np.searchsorted(stops, k, "right")
+            end = int(stops[at]) if at < len(stops) else n
+        else:
+            state[k] = observe(s, ts[k], bool(failure[k]), bool(content[k]), b)
+            end = k + 1
+        for c, values in after.items():
+            values[k:end] = s[c]
+        k = end
+    return {"state": state, **after}
+
+
 def defer(s: dict, now: float, wait: float, most: float = 120.0, default: float = 2.0) -> None:
     """A Retry-After answer moves the pause."""
     s["pause_until"] = max(s["pause_until"], now + min(wait or default, most))
@@ -92,25 +113,15 @@ def breaker_fold(outcomes: DataFrame, breaker: Breaker = ARCHIVE) -> DataFrame:
         for pdf in batches:
             n = len(pdf)
             endpoint, ts, failure, content = (pdf[c].to_numpy() for c in ("endpoint", "ts", "failure", "content"))
-            state, after = np.full(n, "closed", dtype=object), {c: np.zeros(n) for c in ("consecutive", "pause_until", "openings")}
-            fresh = np.append(True, endpoint[1:] != endpoint[:-1]) if n else np.empty(0, bool)
-            stops = np.flatnonzero(fresh | failure.astype(bool))  # rows that a run of healthy answers ends at
-            k = 0
-            while k < n:
+            at = np.flatnonzero(np.append(True, endpoint[1:] != endpoint[:-1])) if n else []
+            parts = []
+            for k, end in zip(at, [*at[1:], n], strict=True):
                 if endpoint[k] != name:
                     name, s = endpoint[k], start()
-                end = k
-                if not (s["probe"] or s["consecutive"] or failure[k]) and ts[k] >= s["pause_until"]:
-                    at = np.searchsorted(stops, k, "right")
-                    end = int(stops[at]) if at < len(stops) else n
-                else:
-                    state[k] = observe(s, ts[k], bool(failure[k]), bool(content[k]), b)
-                    end = k + 1
-                for c, values in after.items():
-                    values[k:end] = s[c]
-                k = end
-            out = pd.DataFrame({"endpoint": endpoint, "event_id": pdf["event_id"], "ts": ts, "failure": failure, "content": content, "state": state, **after})
-            yield out.astype({"consecutive": "int32", "openings": "int32"})[names]
+                parts.append(observe_run(s, ts[k:end], failure[k:end], content[k:end], b))
+            if parts:
+                out = pd.DataFrame({"endpoint": endpoint, "event_id": pdf["event_id"], "ts": ts, "failure": failure, "content": content})
+                yield out.assign(**{c: np.concatenate([x[c] for x in parts]) for c in parts[0]})[names]
 
     sorted_ = outcomes.select("endpoint", "event_id", "ts", "failure", "content").repartition("endpoint").sortWithinPartitions("endpoint", "ts", "event_id")
     return sorted_.mapInPandas(run, EVENTS)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import asdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from salvor.functions.text import contains_any_case
-from salvor.operators.provider import ARCHIVE, EVENTS, Breaker, observe, start
+from salvor.operators.provider import ARCHIVE, EVENTS, Breaker, observe_run, start
 from salvor.operators.rows import keep_last, relaxed_union
 from salvor.sources import files
 
@@ -126,11 +128,75 @@ def append_parts(path: str, expected_unique: str = "id") -> Callable[[DataFrame,
     return run
 
 
+#: An outcome as it is sorted; an event without id (not ``known``) comes last of its time.
+OUTCOME = np.dtype([("ts", "f8"), ("event_id", "i8"), ("known", "?"), ("failure", "?"), ("content", "?")])
+#: Outcomes of an endpoint that are held in memory at once, and those handed on at once.
+HELD, CHUNK = 1 << 20, 10_000
+
+
+def _sorted(parts: list[np.ndarray]) -> np.ndarray:
+    rows = np.concatenate(parts)
+    return rows[np.lexsort((rows["event_id"], rows["ts"]))]
+
+
+def in_order(frames: Iterator[pd.DataFrame], held: int) -> Iterator[np.ndarray]:
+    """The outcomes of one endpoint by time and id, in blocks: beyond ``held`` rows, sorted runs go to
+    a temporary file and are merged, so that no batch needs more memory."""
+    parts, n, runs, last = [], 0, [], np.iinfo(np.int64).max
+    with tempfile.TemporaryFile() as file:
+
+        def spill() -> None:
+            rows = _sorted(parts)
+            runs.append((file.tell(), file.tell() + rows.nbytes))
+            file.write(rows.tobytes())
+
+        for f in frames:
+            part = np.empty(len(f), OUTCOME)
+            part["ts"], part["known"], part["event_id"] = f["ts"], f["event_id"].notna(), f["event_id"].astype("Int64").fillna(last)
+            part["failure"], part["content"] = f["failure"].to_numpy().astype(bool), f["content"].to_numpy().astype(bool)
+            parts.append(part)
+            n += len(part)
+            if n >= held:
+                spill()
+                parts, n = [], 0
+        if not runs:
+            yield from [_sorted(parts)] if parts else []
+            return
+        if parts:
+            spill()
+            parts = []
+        left, blocks = dict(enumerate(runs)), {}
+        size = max(1, held // len(runs)) * OUTCOME.itemsize
+        while left or blocks:
+            for k, (at, end) in list(left.items()):
+                if k not in blocks:
+                    file.seek(at)
+                    blocks[k] = np.frombuffer(file.read(min(size, end - at)), OUTCOME)
+                    left[k] = (at + blocks[k].nbytes, end)
+                    if left[k][0] == end:
+                        del left[k]
+            ends = np.array([blocks[k][-1] for k in left], OUTCOME)  # what is still to be read comes after these
+            edge = ends[np.lexsort((ends["event_id"], ends["ts"]))[0]] if left else None
+            taken = []
+            for k, rows in list(blocks.items()):
+                cut = len(rows)
+                if edge is not None:
+                    low, high = (int(np.searchsorted(rows["ts"], edge["ts"], side)) for side in ("left", "right"))
+                    cut = low + int(np.searchsorted(rows["event_id"][low:high], edge["event_id"], "right"))
+                taken.append(rows[:cut])
+                blocks[k] = rows[cut:]
+                if not len(blocks[k]):
+                    del blocks[k]
+            yield _sorted(taken)
+
+
 def breaker_stream(events: DataFrame, breaker: Breaker = ARCHIVE, idle_ms: int | None = None) -> DataFrame:
-    """The breaker of each endpoint as keyed state. Rows of a batch are taken in order of time.
+    """The breaker of each endpoint as keyed state. Rows of a batch are taken in order of time, and
+    those of an endpoint need no more memory than HELD of them, however large the batch is.
     ``idle_ms`` ends a state after so long without rows; leave it out for runs that should end
     when the input does, as waiting for a time-out keeps a query alive."""
     limits = asdict(breaker)
+    columns = [x.split()[0] for x in EVENTS.split(", ")]
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -139,14 +205,15 @@ def breaker_stream(events: DataFrame, breaker: Breaker = ARCHIVE, idle_ms: int |
         b = Breaker(**limits)
         names = ("consecutive", "pause_until", "probe", "openings")
         s = dict(zip(names, state.get, strict=True)) if state.exists else start()
-        out = []
-        for r in pd.concat(frames).sort_values(["ts", "event_id"]).itertuples(index=False):
-            met = observe(s, r.ts, bool(r.failure), bool(r.content), b)
-            out.append((key[0], r.event_id, r.ts, bool(r.failure), bool(r.content), met, s["consecutive"], s["pause_until"], s["openings"]))
-        state.update(tuple(s[n] for n in names))
+        for rows in in_order(frames, HELD):
+            for k in range(0, len(rows), CHUNK):
+                r = rows[k : k + CHUNK]
+                ids = pd.Series(r["event_id"], dtype="Int64").where(r["known"])
+                out = pd.DataFrame({"endpoint": key[0], "event_id": ids, "ts": r["ts"], "failure": r["failure"], "content": r["content"]})
+                yield out.assign(**observe_run(s, r["ts"], r["failure"], r["content"], b))[columns]
+        state.update((int(s["consecutive"]), float(s["pause_until"]), bool(s["probe"]), int(s["openings"])))
         if idle_ms is not None:
             state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame(out, columns=[x.split()[0] for x in EVENTS.split(", ")])
 
     return events.groupBy("endpoint").applyInPandasWithState(run, EVENTS, "consecutive int, pause_until double, probe boolean, openings int", "append", GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
