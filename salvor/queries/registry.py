@@ -479,7 +479,7 @@ def route_outcomes(s: DataFrame) -> DataFrame:
     key = F.col("page_id") % 4
     none = "array<struct<timestamp: string, original_url: string, digest: string>>"
     ok = F.lit(200)
-    direct = s.select("id", F.lit("direct").alias("phase"), F.element_at(urls.archive_variants(F.col("url")), 1).alias("variant"), F.lit("20200102000000").alias("timestamp"), F.lit(None).cast(none).alias("captures"), F.when(key < 2, 200).otherwise(404).alias("status"), (key < 2).alias("accepted"))
+    direct = s.select("id", F.lit("direct").alias("phase"), F.try_element_at(urls.archive_variants(F.col("url")), F.lit(1)).alias("variant"), F.lit("20200102000000").alias("timestamp"), F.lit(None).cast(none).alias("captures"), F.when(key < 2, 200).otherwise(404).alias("status"), (key < 2).alias("accepted"))
     avail = v.select("id", F.lit("availability").alias("phase"), "variant", F.lit(None).cast("string").alias("timestamp"), F.lit(None).cast(none).alias("captures"), ok.alias("status"), F.lit(False).alias("accepted"))
     capture = F.array(F.struct(F.lit("20190101000000").alias("timestamp"), F.col("variant").alias("original_url"), F.lit("g").alias("digest")))
     index = v.select("id", F.lit("cdx").alias("phase"), "variant", F.lit(None).cast("string").alias("timestamp"), F.when(key == 2, capture).otherwise(F.array().cast(none)).alias("captures"), ok.alias("status"), F.lit(False).alias("accepted"))
@@ -512,7 +512,7 @@ def archive_inputs(spark, sf) -> tuple[DataFrame, DataFrame]:
     v = archive.variants(p.select("id", "page_id", "url"))
     none = F.lit(None).cast("array<struct<timestamp: string, original_url: string, digest: string>>")
     null = F.lit(None).cast("string")
-    first = F.element_at(urls.archive_variants(F.col("url")), 1)
+    first = F.try_element_at(urls.archive_variants(F.col("url")), F.lit(1))
 
     def answer(df, phase, variant, stamp, captures, status, error=null, content=null):
         address = F.concat(F.lit("http://archive/web/"), stamp, F.lit("id_/"), F.col("url")) if phase in ("direct", "snapshot") else null
