@@ -405,8 +405,9 @@ def page_extract(spark, sf):
 @query(CANDIDATES + "SELECT id, extract_method, verification_level, verified_by, n_text, digest FROM j QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN verification_level <> 'unverified_text' THEN position END NULLS LAST, n_text DESC, position) = 1")
 def identity_level(spark, sf):
     """A page's own title identifies it; another story's does not."""
-    best = judged_pages(spark, sf).select("id", acceptance.chosen(acceptance.judged_candidates(F.col("page"))).alias("x"))
-    return best.select("id", "x.best.*").select(*candidate_columns()).drop("position")
+    best = judged_pages(spark, sf).select("id", acceptance.chosen(acceptance.judged_candidates(F.col("page")))["best"].alias("x"))
+    found = F.filter(F.array("x"), lambda c: c.isNotNull())  # a page without text has no candidate
+    return best.select("id", F.inline(found)).select(*candidate_columns()).drop("position")
 
 
 # Captures, traces, routing

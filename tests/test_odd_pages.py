@@ -26,3 +26,10 @@ def test_archive_run_passes_pages_without_address(spark, tmp_path):
     got, at = rows_of(df), names.index("id")
     assert {x[at] for x in got} == {str(n) for n in range(48)} and len(got) == 48
     assert [x for x in got if x[at] not in lacking] == [x for x in want if x[at] not in lacking]
+
+
+def test_identity_level_has_no_row_for_pages_without_text(spark, tmp_path):
+    none = [None, "", "  ", "<html></html>", "<title>t</title>", "<nav></nav>"]
+    rows = [(n, ADDRESS.format(n=n), none[n] if n < len(none) else SHOWN.format(t=f"T {n}", n=n)) for n in range(12)]
+    d, con = stored(spark, tmp_path, rows)
+    assert rows_of(entry.queries()["identity_level"](spark, d)) == oracle_rows(con, entry.oracle_sql()["identity_level"])[1]
