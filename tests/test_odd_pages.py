@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry
 import duckdb
+import pytest
 from conftest import oracle_rows, rows_of
 
 PAGE = '<!DOCTYPE html><html lang="en"><head><title>{t}</title></head><body><nav>no</nav><article><h1>{h}</h1><p>Body {n}</p></article></body></html>'
@@ -33,3 +34,19 @@ def test_identity_level_has_no_row_for_pages_without_text(spark, tmp_path):
     rows = [(n, ADDRESS.format(n=n), none[n] if n < len(none) else SHOWN.format(t=f"T {n}", n=n)) for n in range(12)]
     d, con = stored(spark, tmp_path, rows)
     assert rows_of(entry.queries()["identity_level"](spark, d)) == oracle_rows(con, entry.oracle_sql()["identity_level"])[1]
+
+
+@pytest.mark.parametrize("name", ["live_scrape", "identity_level", "archive_run"])
+def test_tags_in_titles_are_text(spark, tmp_path, name):
+    rows = [(n, ADDRESS.format(n=n), PAGE.format(t=f"Use <vector> &amp; </b> {n} &am", h=f"Use &lt;vector&gt; &amp; &lt;/b&gt; {n} &am", n=n)) for n in range(24)]
+    d, con = stored(spark, tmp_path, rows)
+    assert rows_of(entry.queries()[name](spark, d)) == oracle_rows(con, entry.oracle_sql()[name])[1]
+
+
+def test_titles_and_tags_end():
+    from salvor.functions import html
+
+    root = html.document("<title>a <b>&amp;lt; <p>x</p><title>y<article>z</article>")  # none has an end tag
+    assert [n.text() for n in root.walk() if n.tag == "article"] == ["z"]
+    root = html.document("<TITLE>a <b> &amp;lt;</Title><svg><title>c</title></svg><x&y>d</x&y><i>e</i>")
+    assert [(n.tag, n.text(frozenset())) for n in root.children] == [("title", "a <b> &lt;"), ("svg", "c"), ("x&y", "d"), ("i", "e")]
