@@ -36,7 +36,7 @@ def test_identity_level_has_no_row_for_pages_without_text(spark, tmp_path):
     assert rows_of(entry.queries()["identity_level"](spark, d)) == oracle_rows(con, entry.oracle_sql()["identity_level"])[1]
 
 
-@pytest.mark.parametrize("name", ["live_scrape", "identity_level", "archive_run", "page_candidates"])
+@pytest.mark.parametrize("name", ["live_scrape", "identity_level", "archive_run", "page_candidates", "page_extract"])
 def test_tags_in_titles_are_text(spark, tmp_path, name):
     rows = [(n, ADDRESS.format(n=n), PAGE.format(t=f"Use <vector> &amp; </b> {n} &am", h=f"Use &lt;vector&gt; &amp; &lt;/b&gt; {n} &am", n=n)) for n in range(24)]
     d, con = stored(spark, tmp_path, rows)
